@@ -5,5 +5,7 @@ from tideline.plans.registry import Registry
 
 
 def everything() -> Registry:
+    from tideline.plans.climate_queries import climate
     from tideline.plans.core_queries import core
-    return Registry().merge(core)
+    from tideline.plans.report_queries import report
+    return Registry().merge(core, climate, report)
