@@ -10,14 +10,17 @@ Both give exactly what the plain window gives.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from tideline.session import cut_lineage
+
 BLOCK_DAYS = 1024          # 4,096 six-hour slots
 ROWS_PER_BLOCK = 4096
-SAMPLE_ROWS = 16384        # bound of what a boundary search brings to the driver
+SAMPLE_ROWS = 8192         # bound of what a boundary search brings to the driver
 VALUE_BLOCKS = 256
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -53,11 +56,30 @@ def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
     cuts = sorted(set(keys[step::step]))
 
     def pack(values):
+        if len(values) == 1:
+            return values[0]
         return F.struct(*[v.alias(f"k{i}") for i, v in enumerate(values)])
 
-    edges = F.array(*[pack([_literal(v, k) for v, k in zip(cut, kinds)]) for cut in cuts])
+    def edge_array(some):
+        return F.array(*[pack([_literal(v, k) for v, k in zip(cut, kinds)]) for cut in some])
+
+    def passed(edges):
+        return F.size(F.filter(edges, lambda edge: edge <= row))
+
     row = pack([F.col(c) for c in cols])
-    return F.size(F.filter(edges, lambda edge: edge <= row))
+    stride = max(1, math.isqrt(len(cuts)))
+    coarse = passed(edge_array(cuts[stride - 1::stride])) * stride
+    return coarse + passed(F.slice(edge_array(cuts), coarse + 1, F.lit(stride)))
+
+
+def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column]:
+    """``df`` written to the shared folder, and its blocks over ``cols``.
+
+    A running value reads its input for the boundaries, the block totals and
+    the rows; staging the pre-aggregated input runs what lies above it once.
+    """
+    stored = cut_lineage(df)
+    return stored, value_blocks(stored, cols)
 
 
 def running(df: DataFrame, keys: list[str], order: list, block: Column,
@@ -148,7 +170,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
     counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                 .agg(F.count(F.lit(1)).alias("_n")))
     if block is None:
-        block = value_blocks(counts, keys + [value])
+        counts, block = staged_blocks(counts, keys + [value])
     ranked = running(counts, keys, [value], block, {"_c": (F.col("_n"), "sum")},
                      totals=["_c"])
     return ranked.groupBy(*keys).agg(*quantile_columns("_c", "_n", "_c_total", value, points))

@@ -8,4 +8,6 @@ def everything() -> Registry:
     from tideline.plans.climate_queries import climate
     from tideline.plans.core_queries import core
     from tideline.plans.report_queries import report
-    return Registry().merge(core, climate, report)
+    from tideline.plans.metric_queries import metric
+    from tideline.plans.stat_queries import stat
+    return Registry().merge(core, climate, report, metric, stat)
