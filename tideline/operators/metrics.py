@@ -13,21 +13,23 @@ from tideline.operators.scale import quantile_columns, running, staged_blocks
 TINY = 1e-9
 
 
-def score_counts(df: DataFrame, score="risk_score", label=S.TARGET) -> DataFrame:
+def score_counts(df: DataFrame, score="risk_score", label=S.TARGET, keys: list[str] = ()) -> DataFrame:
     """Rows and positives per distinct score; equal scores are one step."""
-    return (df.groupBy(F.col(score).alias("threshold"))
+    return (df.groupBy(*keys, F.col(score).alias("threshold"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos")))
 
 
-def curve(df: DataFrame, score="risk_score", label=S.TARGET, block: Column | None = None) -> DataFrame:
+def curve(df: DataFrame, score="risk_score", label=S.TARGET, block: Column | None = None,
+          keys: list[str] = ()) -> DataFrame:
     """Per distinct score: rows and positives at or above it, below it, and in all."""
-    counts = score_counts(df, score, label)
+    keys = list(keys)
+    counts = score_counts(df, score, label, keys)
     if block is None:
-        counts, block = staged_blocks(counts, ["threshold"])
-    x = running(counts, [], ["threshold"], block,
+        counts, block = staged_blocks(counts, keys + ["threshold"])
+    x = running(counts, keys, ["threshold"], block,
                 {"cn": (F.col("n"), "sum"), "cp": (F.col("pos"), "sum")}, totals=["cn", "cp"])
     return x.select(
-        "threshold", "n", "pos", "cn", "cp",
+        *keys, "threshold", "n", "pos", "cn", "cp",
         (F.col("cn_total") - F.col("cn") + F.col("n")).alias("flagged"),
         (F.col("cp_total") - F.col("cp") + F.col("pos")).alias("tp"),
         F.col("cn_total").alias("total_n"), F.col("cp_total").alias("total_pos"))
@@ -76,9 +78,9 @@ def roc_auc(c: DataFrame) -> DataFrame:
                  .alias("auc_roc"))
 
 
-def average_precision(c: DataFrame) -> DataFrame:
+def average_precision(c: DataFrame, keys: list[str] = ()) -> DataFrame:
     """Sum over thresholds of the recall step times the precision (no interpolation)."""
-    return c.agg(F.sum(F.col("pos") / F.col("total_pos") * precision()).alias("auc_pr"))
+    return c.groupBy(*keys).agg(F.sum(F.col("pos") / F.col("total_pos") * precision()).alias("auc_pr"))
 
 
 def ranking_metrics(c: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ Both give exactly what the plain window gives.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import math
 from functools import reduce
 
@@ -32,10 +33,17 @@ def time_block(time, days: int = BLOCK_DAYS) -> Column:
     return F.floor(F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")) / F.lit(days))
 
 
-def _literal(value, kind: T.DataType) -> Column:
-    if isinstance(value, dt.datetime):
-        return F.lit(value.isoformat(sep=" ")).cast(kind)
-    return F.lit(value).cast(kind)
+def _literal_array(rows: list[tuple], kinds: list[T.DataType]) -> Column:
+    """A constant array; one JSON literal, which the optimizer folds."""
+    def plain(v):
+        return v.isoformat() if isinstance(v, (dt.datetime, dt.date)) else v
+
+    if len(kinds) == 1:
+        entry, data = kinds[0], [plain(r[0]) for r in rows]
+    else:
+        entry = T.StructType([T.StructField(f"k{i}", k) for i, k in enumerate(kinds)])
+        data = [{f"k{i}": plain(v) for i, v in enumerate(r)} for r in rows]
+    return F.from_json(F.lit(json.dumps(data)), T.ArrayType(entry))
 
 
 def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
@@ -55,21 +63,15 @@ def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
     step = max(1, len(keys) // blocks)
     cuts = sorted(set(keys[step::step]))
 
-    def pack(values):
-        if len(values) == 1:
-            return values[0]
-        return F.struct(*[v.alias(f"k{i}") for i, v in enumerate(values)])
-
-    def edge_array(some):
-        return F.array(*[pack([_literal(v, k) for v, k in zip(cut, kinds)]) for cut in some])
+    stride = max(1, math.isqrt(len(cuts)))
+    row = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c).alias(f"k{i}")
+                                                           for i, c in enumerate(cols)])
 
     def passed(edges):
         return F.size(F.filter(edges, lambda edge: edge <= row))
 
-    row = pack([F.col(c) for c in cols])
-    stride = max(1, math.isqrt(len(cuts)))
-    coarse = passed(edge_array(cuts[stride - 1::stride])) * stride
-    return coarse + passed(F.slice(edge_array(cuts), coarse + 1, F.lit(stride)))
+    coarse = passed(_literal_array(cuts[stride - 1::stride], kinds)) * stride
+    return coarse + passed(F.slice(_literal_array(cuts, kinds), coarse + 1, F.lit(stride)))
 
 
 def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column]:
