@@ -10,4 +10,5 @@ def everything() -> Registry:
     from tideline.plans.report_queries import report
     from tideline.plans.metric_queries import metric
     from tideline.plans.stat_queries import stat
-    return Registry().merge(core, climate, report, metric, stat)
+    from tideline.plans.learning_queries import learn
+    return Registry().merge(core, climate, report, metric, stat, learn)
