@@ -137,5 +137,27 @@ def neg_log10(p) -> Column:
     return -F.log10(_c(p) + F.lit(1e-300))
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def local_seconds(time) -> Column:
+    """Seconds of a local time stamp since 1970, whatever the session time zone."""
+    t = _c(time)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.floor(F.extract(F.lit("SECOND"), t))
+
+
+def as_event_time(time) -> Column:
+    """A local time stamp as an instant (read as UTC); watermarks need that type."""
+    return F.timestamp_seconds(local_seconds(time))
+
+
+def from_event_time(col) -> Column:
+    """Back to a local time stamp."""
+    secs = F.unix_seconds(_c(col))
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+        F.floor(secs / 86400).cast("int"), F.lit(0), F.lit(0), F.pmod(secs, F.lit(86400)).cast("decimal(18,6)"))
+
+
 def iso_time(col) -> Column:
     return F.date_format(col, "yyyy-MM-dd'T'HH:mm:ss")

@@ -28,12 +28,12 @@ def audit(df: DataFrame, name: str, step_hours: int = 24, time: str = "time",
         stamps = stamps.join(first, list(by))
     else:
         stamps = stamps.withColumn("_first", first.scalar())
-    away = F.timestamp_diff("SECOND", F.col("_first"), F.col("_t"))
+    away = C.local_seconds("_t") - C.local_seconds("_first")
     whole = F.col("_t") == F.date_trunc("second", "_t").cast("timestamp_ntz")
     on_grid = stamps.groupBy(*by).agg(
         F.sum(F.when((F.pmod(away, step) == 0) & whole, 1).otherwise(0)).cast("bigint").alias("_seen"))
     x = facts.join(on_grid, list(by)) if by else facts.withColumn("_seen", on_grid.scalar())
-    expected = F.floor(F.timestamp_diff("SECOND", F.col("start"), F.col("end")) / step) + 1
+    expected = F.floor((C.local_seconds("end") - C.local_seconds("start")) / step) + 1
     nulls = F.map_filter(F.create_map(*[p for c in others for p in (F.lit(c), F.col(f"_n_{c}"))]),
                          lambda _, v: v > 0)
     return x.select(F.lit(name).alias("dataset"), *by, "rows", "start", "end",

@@ -10,14 +10,6 @@ from tideline.functions import columns as C
 from tideline.functions.fixed_point import mean, total
 from tideline.operators.scale import row_index, running, time_block
 
-DAY_SECONDS = 86400
-
-
-def _seconds(col) -> Column:
-    """Seconds since 1970 of a local time stamp."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(col))
-
-
 # ---- alerts and summaries -----------------------------------------------------
 def zone_alerts(scored: DataFrame) -> DataFrame:
     """Peak score, exposure hours, level and text per zone.
@@ -150,7 +142,7 @@ def near_event(df: DataFrame, hours: int = 48, event: str = S.TARGET) -> DataFra
     the cells before and after only their latest and earliest event matter, so
     each cell is summarised once and joined by equality.
     """
-    cell = F.floor(_seconds("time_6h") / F.lit(hours * 3600))
+    cell = F.floor(C.local_seconds("time_6h") / F.lit(hours * 3600))
     x = df.withColumn("_cell", cell)
     seen = x.filter(F.col(event) == 1).groupBy("zone", "_cell").agg(
         F.min("time_6h").alias("_a"), F.max("time_6h").alias("_z"))
@@ -257,7 +249,7 @@ def alert_episodes(flagged: DataFrame, hours: int = S.SLOT_HOURS) -> DataFrame:
     """
     x = row_index(flagged.select("zone", "time_6h", "risk_score"), ["zone"], ["time_6h"],
                   time_block("time_6h"), "_i")
-    run = F.floor(_seconds("time_6h") / F.lit(hours * 3600)) - F.col("_i")
+    run = F.floor(C.local_seconds("time_6h") / F.lit(hours * 3600)) - F.col("_i")
     return x.groupBy("zone", run.alias("_run")).agg(
         F.min("time_6h").alias("episode_start"),
         (F.max("time_6h") + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("episode_end"),

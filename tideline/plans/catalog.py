@@ -11,4 +11,6 @@ def everything() -> Registry:
     from tideline.plans.metric_queries import metric
     from tideline.plans.stat_queries import stat
     from tideline.plans.learning_queries import learn
-    return Registry().merge(core, climate, report, metric, stat, learn)
+    from tideline.plans.geo_queries import geo
+    from tideline.plans.stream_queries import stream
+    return Registry().merge(core, climate, report, metric, stat, learn, stream, geo)
