@@ -109,7 +109,7 @@ def shuffled(df: DataFrame, keys: list[str], identity: list[str], seed: int,
     so its top bits are balanced blocks and no key is sorted in one task.
     """
     x = df.withColumn("_h", F.xxhash64(F.lit(seed), *identity))
-    block = F.floor(F.col("_h") / F.lit(2.0 ** 56))
+    block = F.floor(F.col("_h") / F.lit(2.0 ** 52))
     return row_index(x, keys, ["_h", *identity], block, name).drop("_h")
 
 

@@ -1,7 +1,6 @@
 """Session defaults and the shared scratch folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -25,18 +24,22 @@ def local_session(cores: str = "8", name: str = "tideline") -> SparkSession:
     return spark
 
 
+_own_root: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, visible to every executor.
 
     Only a local session without that setting falls back to a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or ""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tideline-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
+        if not _own_root:
+            _own_root.append(tempfile.mkdtemp(prefix="tideline-"))
+        root = _own_root[0]
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df):
