@@ -10,10 +10,10 @@ from tideline.operators.splits import shuffled
 ID = ("zone", "time_6h")
 
 
-def class_sizes(df: DataFrame, label: str = S.TARGET) -> tuple[int, int]:
-    """(majority 0, minority 1) row counts."""
+def class_sizes(df: DataFrame, label: str = S.TARGET) -> tuple[int, int, int]:
+    """(rows of the larger class, rows of the smaller class, label of the smaller class)."""
     r = df.agg(F.count_if(F.col(label) == 0).alias("a"), F.count_if(F.col(label) == 1).alias("b")).first()
-    return r["a"], r["b"]
+    return max(r["a"], r["b"]), min(r["a"], r["b"]), int(r["b"] <= r["a"])
 
 
 def _repeat(df: DataFrame, times: Column, name: str = "copy") -> DataFrame:
@@ -31,22 +31,22 @@ def over_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 4
 
     Every row is repeated equally often; the remainder goes to rows drawn by hash.
     """
-    many, few = class_sizes(df, label)
+    many, few, rare = class_sizes(df, label)
     if few == 0:
         raise ValueError("there is no minority row to repeat")
-    small = shuffled(df.filter(F.col(label) == 1), [], list(identity), seed)
+    small = shuffled(df.filter(F.col(label) == rare), [], list(identity), seed)
     times = F.lit(many // few) + (F.col("draw") < many % few).cast("int")
-    return df.filter(F.col(label) == 0).unionByName(_repeat(small, times).drop("draw", "copy"))
+    return df.filter(F.col(label) == 1 - rare).unionByName(_repeat(small, times).drop("draw", "copy"))
 
 
 def under_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 42) -> DataFrame:
     """Keep as many majority rows as there are minority rows, drawn by hash."""
-    _, few = class_sizes(df, label)
-    big = shuffled(df.filter(F.col(label) == 0), [], list(identity), seed)
-    return big.filter(F.col("draw") < few).drop("draw").unionByName(df.filter(F.col(label) == 1))
+    _, few, rare = class_sizes(df, label)
+    big = shuffled(df.filter(F.col(label) == 1 - rare), [], list(identity), seed)
+    return big.filter(F.col("draw") < few).drop("draw").unionByName(df.filter(F.col(label) == rare))
 
 
-def _blend(rows: DataFrame, times: Column, near: DataFrame, minority: DataFrame, k: int, seed: int) -> DataFrame:
+def _blend(rows: DataFrame, times: Column, near: DataFrame, minority: DataFrame, rare: int, seed: int) -> DataFrame:
     """Synthetic rows on the line from a minority row to one of its neighbours."""
     copies = _repeat(rows, times)
     pick = F.pmod(F.xxhash64(F.lit(seed), "id", "copy"), F.col("_have")) + 1
@@ -58,7 +58,7 @@ def _blend(rows: DataFrame, times: Column, near: DataFrame, minority: DataFrame,
     vec = F.zip_with("vec", "_to", lambda a, b: a + (b - a) * F.col("_share"))
     return (copies.join(other, ["id", "place"]).withColumn("_share", share)
             .select(F.concat_ws("#", F.col("id").cast("string"), F.col("copy").cast("string")).alias("id"),
-                    vec.alias("vec"), F.lit(1).alias("label")))
+                    vec.alias("vec"), F.lit(rare).alias("label")))
 
 
 def _as_text_id(df: DataFrame) -> DataFrame:
@@ -69,15 +69,15 @@ def _as_text_id(df: DataFrame) -> DataFrame:
 def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     """(id, vec, label) plus synthetic minority rows up to equal class sizes."""
     x = _as_text_id(df)
-    many, few = class_sizes(x, "label")
+    many, few, rare = class_sizes(x, "label")
     if few < 2:
         raise ValueError("synthesis needs at least two minority rows")
-    minority = x.filter(F.col("label") == 1)
+    minority = x.filter(F.col("label") == rare)
     near = nearest(minority, minority, min(k, few - 1))
     missing = many - few
     rows = shuffled(minority, [], ["id"], seed)
     times = F.lit(missing // few) + (F.col("draw") < missing % few).cast("int")
-    return x.unionByName(_blend(rows, times, near, minority, k, seed))
+    return x.unionByName(_blend(rows, times, near, minority, rare, seed))
 
 
 def adasyn(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
@@ -86,29 +86,32 @@ def adasyn(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     Raises when no minority row has a majority neighbour.
     """
     x = _as_text_id(df)
-    many, few = class_sizes(x, "label")
-    minority = x.filter(F.col("label") == 1)
+    many, few, rare = class_sizes(x, "label")
+    if few < 2:
+        raise ValueError("synthesis needs at least two minority rows")
+    minority = x.filter(F.col("label") == rare)
     around = nearest(minority, x, k).join(
         x.select(F.col("id").alias("neighbour"), F.col("label").alias("_l")), "neighbour")
-    share = around.groupBy("id").agg((F.sum(F.when(F.col("_l") == 0, 1).otherwise(0)) / F.lit(k)).alias("_r"))
+    share = around.groupBy("id").agg((F.sum(F.when(F.col("_l") != rare, 1).otherwise(0)) / F.lit(k)).alias("_r"))
     whole = share.agg(F.sum("_r")).first()[0]
     if not whole:
         raise ValueError("no minority row has a majority neighbour")
     rows = minority.join(share, "id")
     times = F.rint(F.col("_r") / F.lit(float(whole)) * F.lit(float(many - few))).cast("int")
     near = nearest(minority, minority, min(k, few - 1))
-    return x.unionByName(_blend(rows, times, near, minority, k, seed))
+    return x.unionByName(_blend(rows, times, near, minority, rare, seed))
 
 
 def tomek_links(df: DataFrame) -> DataFrame:
     """(id, neighbour) pairs of opposite class that are each other's nearest, majority first."""
     x = _as_text_id(df)
+    rare = class_sizes(x, "label")[2]
     one = nearest(x, x, 1).select("id", "neighbour")
     back = one.select(F.col("id").alias("neighbour"), F.col("neighbour").alias("id"))
     labels = x.select("id", F.col("label").alias("_a"))
     return (one.join(back, ["id", "neighbour"]).join(labels, "id")
             .join(labels.select(F.col("id").alias("neighbour"), F.col("_a").alias("_b")), "neighbour")
-            .filter((F.col("_a") == 0) & (F.col("_b") == 1)).select("id", "neighbour"))
+            .filter((F.col("_a") == 1 - rare) & (F.col("_b") == rare)).select("id", "neighbour"))
 
 
 def drop_tomek(df: DataFrame, both: bool = False) -> DataFrame:

@@ -5,13 +5,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline import settings as S
 from tideline.operators.scale import row_index, running, time_block
+from tideline.session import cut_lineage
 
 TIME = "time_6h"
 
 
 def time_counts(df: DataFrame, time: str = TIME) -> DataFrame:
-    """Rows per time, with rows up to and including it and rows in all."""
-    counts = df.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per time, with rows up to and including it and rows in all.
+
+    The counts are staged: the block totals and the rows both read them.
+    """
+    counts = cut_lineage(df.groupBy(time).agg(F.count(F.lit(1)).alias("n")))
     return running(counts, [], [time], time_block(time), {"upto": (F.col("n"), "sum")}, totals=["upto"])
 
 

@@ -9,7 +9,7 @@ from tideline.operators import climatology as K, features as X, quality as Q, re
 from tideline.plans import oracle as O
 from tideline.plans.core_queries import h_silver, round_cycles, silver
 from tideline.plans.registry import Registry
-from tideline.session import shared_folder
+from tideline.session import cut_lineage, shared_folder
 from tideline.sources import adapters as A, feeds
 from tideline.sources.lake import Lake, upsert
 
@@ -49,11 +49,15 @@ _NEED = ("h_slots", "h_silver", "zone_dim")
 
 
 def split_history(spark, d):
-    """(live, past): the last 15 days as forecast slots, the earlier silver rows."""
-    slots = R.forecast_slots(A.history_weather(spark, d))
+    """(live, past): the last 15 days as forecast slots, the earlier silver rows.
+
+    Both come from stored tables, as in a deployment.
+    """
+    slots = cut_lineage(R.forecast_slots(A.history_weather(spark, d)))
+    history = cut_lineage(h_silver(spark, d))
     cut = slots.agg((F.to_date(F.max("time_6h")).cast("timestamp_ntz")
                      - F.make_dt_interval(F.lit(15))).alias("c")).scalar()
-    return slots.filter(F.col("time_6h") >= cut), h_silver(spark, d).filter(F.col("time_6h") < cut)
+    return slots.filter(F.col("time_6h") >= cut), history.filter(F.col("time_6h") < cut)
 
 
 def _bounds(spark, d):

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline import settings as S
 from tideline.operators import climatology as K, features as X, resample as R
+from tideline.session import cut_lineage
 from tideline.sources.lake import Lake
 
 KEY = ["zone", "time_6h"]
@@ -37,7 +38,7 @@ def build_history(lake: Lake, purge_bronze: bool = False) -> DataFrame:
 def forecast_features(live: DataFrame, history: DataFrame, zones: DataFrame, now: Column,
                       days: int = S.HORIZON_DAYS) -> DataFrame:
     """Live slots, extended by climatology, as features from ``now`` on."""
-    stream = K.extend_horizon(live, history, zones, days)
+    stream = cut_lineage(K.extend_horizon(live, history, zones, days))  # read by several branches
     return silver_to_gold(stream, is_forecast=True).filter(F.col("time_6h") >= now)
 
 
