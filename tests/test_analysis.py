@@ -205,3 +205,17 @@ def test_stratified_folds_are_even(spark, slots):
         assert len(n) == 5 and max(n) - min(n) <= 1
     again = sorted(map(tuple, T.stratified_folds(x.repartition(7)).collect()))
     assert again == sorted(map(tuple, T.stratified_folds(x).collect()))
+
+
+def test_archive_and_board_flows(spark, slots):
+    from tideline.plans import flows
+    x = slots([("Low Relief", 0, 1.26, 1, 0.7, 1, "HIGH"), ("Low Relief", 1, 0.0, 0, 0.4, 0, "MEDIUM"),
+               ("High Relief", 1, 2.0, 0, 0.65, 1, "HIGH")],
+              ["precipitation", "is_flood", "risk_score", "flood_pred", "risk_level"])
+    rep = flows.archive_report(x, "Low Relief", "2024-01-01", "2024-02-01")
+    assert tuple(rep["summary"].first()) == ("Low Relief", 1.3, 1, 1, 0)
+    assert [r["status"] for r in rep["errors"].collect()] == ["DETECTED"]
+    assert sorted(r["predicted"] for r in rep["chart"].collect()) == [40.0, 70.0]
+    board = flows.city_board(x, 1)
+    assert board["status"].first()["label"] == "FLOOD ALERT" and board["districts"].count() == 9
+    assert board["next_alert"].first()["percent"] == 70 and board["ticks"].count() == 1

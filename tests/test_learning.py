@@ -146,3 +146,23 @@ def test_search_marks_new_bests(spark):
     assert got == [(0.2, True), (0.2, False), (0.5, True), (0.5, False)]
     a, b = W.draw_settings(5), W.draw_settings(5)
     assert a == b and all(100 <= p["rounds"] <= 900 and 0.005 <= p["step"] <= 0.3 for p in a)
+
+
+def test_forecast_run_with_a_stored_history(spark, gold):
+    import datetime as dt
+    from tideline import settings as S
+    from tideline.plans import flows
+    from tideline.sources.lake import Lake
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    start, zones = dt.datetime(2020, 1, 1), ["High Relief", "Low Relief"]
+    schema = "zone string, {} timestamp_ntz, " + ", ".join(f"{m} double" for m in S.MEASURES)
+    slots = [(z, start + dt.timedelta(hours=6 * n), *[n % 9 / 9] * 8, 0.0) for z in zones for n in range(200)]
+    lake.replace(spark.createDataFrame(slots, schema.format("time_6h") + ", river_discharge double"), "silver",
+                 "weather_flood_6h")
+    live = [(z, start + dt.timedelta(days=50, hours=h), *[h % 5 / 5] * 8) for z in zones for h in range(360)]
+    out = flows.forecast_run(lake, spark.createDataFrame(live, schema.format("time")),
+                             spark.createDataFrame([(z,) for z in zones], "zone string"),
+                             F.lit("2020-02-20").cast("timestamp_ntz"), W.train(gold, rounds=2, folds=2, cv=False), "demo")
+    assert out["forecast"].count() == 2 * 121 and {r["zone"] for r in out["alerts"].collect()} == set(zones)
+    meta = out["metadata"].first()
+    assert meta["forecast_start"] == dt.datetime(2020, 2, 20) and meta["model_used"] == "demo" and meta["horizon_days"] == 30

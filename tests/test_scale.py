@@ -70,7 +70,15 @@ def test_value_blocks_follow_the_order_and_cover_many_blocks(spark):
 
 def test_value_blocks_on_a_small_frame_are_one_block(spark):
     df = spark.range(10).select(F.col("id").cast("double").alias("v"))
-    assert df.select(K.value_blocks(df, ["v"]).alias("b")).distinct().count() == 1
+    assert K.value_blocks(df, ["v"]) is None
+
+
+def test_running_without_blocks_is_the_same(gappy):
+    args = (["zone"], ["time_6h"])
+    values = {"s": (F.col("flag"), "sum"), "m": (F.col("x"), "max")}
+    a = K.running(gappy, *args, K.time_block("time_6h", 45), values, totals=["s"], before=["s", "m"])
+    b = K.running(gappy, *args, None, values, totals=["s"], before=["s", "m"])
+    assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
 def test_exact_quantiles_match_numpy_over_blocks(spark):

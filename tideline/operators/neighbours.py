@@ -9,14 +9,17 @@ capped, and full pair lists are never written.
 """
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tideline.session import cut_lineage
 
-PIVOTS = 64      # fixed bound of what the driver holds
+MAX_PIVOTS = 1024   # bound of what the driver and each task hold besides a chunk
 CHUNK = 2048
+SLICE = 256         # rows compared at once
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -34,15 +37,18 @@ def _matrix(series) -> np.ndarray:
 
 
 def nearest(queries: DataFrame, points: DataFrame, k: int, chunk: int = CHUNK,
-            pivots: int = PIVOTS) -> DataFrame:
+            pivots: int | None = None) -> DataFrame:
     """(id, neighbour, distance, place) with place 1..k; a point is not its own neighbour.
 
+    The number of pivots follows the square root of the number of points.
+
     Both frames have ``id`` (string or bigint) and ``vec`` (array<double>).
     Equal distances are ordered by neighbour id.
     """
     points = cut_lineage(points.select("id", F.col("vec").cast("array<double>").alias("vec")))
     queries = cut_lineage(queries.select("id", F.col("vec").cast("array<double>").alias("vec")))
     kind = dict(points.dtypes)["id"]
+    pivots = pivots or min(MAX_PIVOTS, max(16, math.isqrt(points.count())))
     chosen = points.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
     if not chosen:
         raise ValueError("there are no points to search")
@@ -50,10 +56,11 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, chunk: int = CHUNK,
 
     def to_cells(batches):
         for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), centre)
+            for at in range(0, len(pdf), SLICE):
+                part = pdf.iloc[at:at + SLICE]
+                d = _distances(_matrix(part["vec"]), centre)
                 best = d.argmin(axis=1)
-                yield pd.DataFrame({"id": pdf["id"], "vec": pdf["vec"], "cell": best.astype("int32"),
+                yield pd.DataFrame({"id": part["id"], "vec": part["vec"], "cell": best.astype("int32"),
                                     "away": d[np.arange(len(d)), best]})
 
     placed = cut_lineage(points.mapInPandas(to_cells, f"id {kind}, vec array<double>, cell int, away double"))
@@ -72,15 +79,15 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, chunk: int = CHUNK,
 
     def to_visits(batches):
         for pdf in batches:
-            if not len(pdf):
-                continue
-            d = _distances(_matrix(pdf["vec"]), centre[cells])
-            reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
-            bound = np.partition(reach, k, axis=1)[:, k] if reach.shape[1] > k else np.full(len(d), np.inf)
-            hit = (d - radius[None, :]) <= bound[:, None] * (1 + 1e-9) + 1e-12
-            who, where = np.nonzero(hit)
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[who], "vec": pdf["vec"].to_numpy()[who],
-                                "cell": cells[where].astype("int32")})
+            for at in range(0, len(pdf), SLICE):
+                part = pdf.iloc[at:at + SLICE]
+                d = _distances(_matrix(part["vec"]), centre[cells])
+                reach = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
+                bound = np.partition(reach, k, axis=1)[:, k] if reach.shape[1] > k else np.full(len(d), np.inf)
+                hit = (d - radius[None, :]) <= bound[:, None] * (1 + 1e-9) + 1e-12
+                who, where = np.nonzero(hit)
+                yield pd.DataFrame({"id": part["id"].to_numpy()[who], "vec": part["vec"].to_numpy()[who],
+                                    "cell": cells[where].astype("int32")})
 
     visits = cut_lineage(queries.mapInPandas(to_visits, f"id {kind}, vec array<double>, cell int"))
     asked = {r["cell"]: -(-r["n"] // chunk) for r in
@@ -105,12 +112,12 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, chunk: int = CHUNK,
         order = np.argsort(names, kind="stable")
         names, vec = names[order], _matrix(p["vec"].to_numpy()[order])
         out = []
-        for i in range(0, len(q), 256):
-            d = _distances(_matrix(q["vec"].to_numpy()[i:i + 256]), vec)
-            d[ids[i:i + 256, None] == names[None, :]] = np.inf
+        for i in range(0, len(q), SLICE):
+            d = _distances(_matrix(q["vec"].to_numpy()[i:i + SLICE]), vec)
+            d[ids[i:i + SLICE, None] == names[None, :]] = np.inf
             top = np.argsort(d, axis=1, kind="stable")[:, :k]
             dist = np.take_along_axis(d, top, axis=1)
-            out.append(pd.DataFrame({"id": np.repeat(ids[i:i + 256], top.shape[1]),
+            out.append(pd.DataFrame({"id": np.repeat(ids[i:i + SLICE], top.shape[1]),
                                      "neighbour": names[top].ravel(), "distance": dist.ravel()}))
         res = pd.concat(out)
         return res[np.isfinite(res["distance"])]

@@ -47,17 +47,18 @@ def _literal_array(rows: list[tuple], kinds: list[T.DataType]) -> Column:
 
 
 def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
-                 sample: int = SAMPLE_ROWS) -> Column:
+                 sample: int = SAMPLE_ROWS) -> Column | None:
     """Block number over the lexicographic order of ``cols`` (rows distinct on them).
 
     The boundaries are quantiles of the ``sample`` rows with the smallest hash:
     the same rows whatever the task order, and never more than ``sample`` of
     them on the driver. They become literals, so each use of the returned
-    column cuts at the same places. A frame below ``sample`` rows is one block.
+    column cuts at the same places. A frame below ``sample`` rows needs no
+    blocks, which is None.
     """
     rows = (df.select(*cols).orderBy(F.xxhash64(*cols), *cols).limit(sample).collect())
     if len(rows) < sample:
-        return F.lit(0)
+        return None
     kinds = [df.schema[c].dataType for c in cols]
     keys = sorted(tuple(r) for r in rows)
     step = max(1, len(keys) // blocks)
@@ -74,7 +75,7 @@ def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
     return coarse + passed(F.slice(_literal_array(cuts, kinds), coarse + 1, F.lit(stride)))
 
 
-def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column]:
+def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column | None]:
     """``df`` written to the shared folder, and its blocks over ``cols``.
 
     A running value reads its input for the boundaries, the block totals and
@@ -84,7 +85,7 @@ def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column]:
     return stored, value_blocks(stored, cols)
 
 
-def running(df: DataFrame, keys: list[str], order: list, block: Column,
+def running(df: DataFrame, keys: list[str], order: list, block: Column | None,
             values: dict[str, tuple[Column, str]], totals: list[str] = (),
             before: list[str] = ()) -> DataFrame:
     """Add running values per ``keys`` in ``order``, the current row included.
@@ -94,8 +95,11 @@ def running(df: DataFrame, keys: list[str], order: list, block: Column,
     the whole key; names in ``before`` get the value without the current row.
     The block table has one row per key and block; only it sees a whole key.
     Key values must not be null. The join finds the rows where the local window
-    left them, so the data is shuffled once.
+    left them, so the data is shuffled once. Without a ``block`` (a frame known
+    to be small) it is one plain window per key.
     """
+    if block is None:
+        return _running_small(df, keys, order, values, totals, before)
     x = df.withColumn("_b", block)
     for name, (col, _) in values.items():
         x = x.withColumn(f"_v_{name}", col)
@@ -132,6 +136,21 @@ def running(df: DataFrame, keys: list[str], order: list, block: Column,
         *[F.col(f"{n}_total") for n in totals])
 
 
+def _running_small(df, keys, order, values, totals, before) -> DataFrame:
+    whole = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
+    upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    prior = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def over(n, w, fill=True):
+        col, how = values[n]
+        out = _MERGE[how](col).over(w)
+        return F.coalesce(out, F.lit(0)) if fill and how == "sum" else out
+
+    return df.select("*", *[over(n, upto).alias(n) for n in values],
+                     *[over(n, prior).alias(f"{n}_before") for n in before],
+                     *[over(n, whole, False).alias(f"{n}_total") for n in totals])
+
+
 def row_index(df: DataFrame, keys: list[str], order: list, block: Column,
               name: str = "row_index") -> DataFrame:
     """0-based position of each row inside its key."""

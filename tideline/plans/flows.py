@@ -79,3 +79,13 @@ def city_board(predictions: DataFrame, slot: int) -> dict[str, DataFrame]:
             "districts": P.district_board(now).orderBy("severity"),
             "next_alert": P.next_alert(predictions.filter(F.col("zone") == "Low Relief")),
             "ticks": P.timeline_ticks(predictions)}
+
+
+def forecast_run(lake: Lake, hourly: DataFrame, zones: DataFrame, now: Column, bundle, name: str,
+                 days: int = S.HORIZON_DAYS) -> dict[str, DataFrame]:
+    """Scored forecast, alerts by zone and one row of metadata."""
+    from tideline.operators.report import run_metadata, zone_alerts
+    from tideline.plans.training import predict
+    scored = cut_lineage(predict(run_forecast(lake, hourly, zones, now, days), bundle))
+    return {"forecast": scored, "alerts": zone_alerts(scored).orderBy(F.col("max_risk_score").desc()),
+            "metadata": run_metadata(scored, name, days)}

@@ -10,6 +10,7 @@ from tideline.plans.core_queries import h_silver
 from tideline.plans.registry import Registry
 from tideline.session import cut_lineage, shared_folder
 from tideline.sources import adapters as A
+from tideline.sources.lake import Lake
 
 learn = Registry()
 SMALL = {"rounds": 8, "depth": 3}  # enough trees to exercise the flow
@@ -68,6 +69,20 @@ def _(spark, d):
     return W.predict(gold, W.Bundle.load(spark, path)).select(*S.PREDICTION_COLUMNS)
 
 
+@learn.add("C6_stored_predictions")
+def _(spark, d):
+    gold = h_gold(spark, d)
+    lake = Lake(spark, shared_folder(spark, "lake"))
+    return W.store_predictions(lake, gold, W.train(gold, calibrate=False, cv=False, **SMALL))
+
+
+@learn.add("C14_experiment_pack")
+def _(spark, d):
+    pack = W.optimise(h_gold(spark, d), ["under_sample"], rounds=4, trials=2, k=2, depth=3)
+    return pack["strategies"].select("strategy", "auc_roc", "auc_pr", "recall").unionByName(
+        pack["calibration"].select("strategy", "auc_roc", "auc_pr", "recall"))
+
+
 @learn.add("M11_batch_scoring")
 def _(spark, d):
     x, names, categories = W.prepare(h_gold(spark, d))

@@ -16,6 +16,7 @@ from tideline.operators import learning as L, metrics as M, sampling as P, split
 from tideline.session import cut_lineage
 
 KEYS = ["zone", "time_6h"]
+MAX_ZONES = 1000   # each zone but one becomes a feature column
 
 
 @dataclass
@@ -39,8 +40,8 @@ class Bundle:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Bundle":
         from tideline.sources.lake import Lake
-        if not Lake(spark, path)._fs(f"{path}/bundle/_SUCCESS")[0].exists(
-                Lake(spark, path)._fs(f"{path}/bundle/_SUCCESS")[1]):
+        parent, _, name = path.rstrip("/").rpartition("/")
+        if not Lake(spark, parent).exists(name, "bundle"):
             raise LookupError(f"no model at {path}")
         doc = json.loads(spark.read.text(f"{path}/bundle").first()[0])
         return cls(L.FoldedModel.load(f"{path}/model", doc["members"]), doc["features"], doc["categories"],
@@ -74,7 +75,10 @@ def prepare(gold: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     if S.TARGET not in gold.columns:
         raise ValueError(f"column '{S.TARGET}' is missing")
     gold = gold.filter(F.col(S.TARGET).isNotNull())
-    categories = sorted(r["zone"] for r in gold.select("zone").distinct().collect())  # one row per zone
+    seen = gold.select("zone").distinct().limit(MAX_ZONES + 1).collect()
+    if len(seen) > MAX_ZONES:
+        raise ValueError(f"more than {MAX_ZONES} zones cannot be one-hot encoded")
+    categories = sorted(r["zone"] for r in seen)
     names = L.feature_names(gold.columns, categories)
     return cut_lineage(L.vectors(gold, names, categories)), names, categories
 
@@ -317,3 +321,14 @@ def compare_calibration(gold: DataFrame, rounds: int = 500, folds: int = 5, **le
         row = row.select("*", *[counts.select(c).scalar().alias(c) for c in ("tp", "fp", "fn")])
         out = row if out is None else out.unionByName(row)
     return M.with_delta(out, "strategy", "C held-out isotonic", "A cross-fitted", "C - A")
+
+
+def optimise(gold: DataFrame, strategies: list[str] | None = None, rounds: int = 500, trials: int = 60, k: int = 5,
+             **learner) -> dict[str, DataFrame]:
+    """The experiment pack: balancing strategies with folds, search, calibration."""
+    return {
+        "strategies": results_table(compare_strategies(gold, strategies, rounds, **learner),
+                                    strategy_cv(gold, strategies, rounds, k, **learner)),
+        "search": search(gold, trials, k, max_rounds=max(rounds, 2)),
+        "calibration": compare_calibration(gold, rounds, k, **learner),
+    }
