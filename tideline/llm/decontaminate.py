@@ -164,8 +164,8 @@ class ItemIndex:
 class Terms:
     """Term numbers of whole texts; a blank-separated piece is looked up once and remembered."""
 
-    def __init__(self, term: dict[str, int]):
-        self.term, self.known = term, {}
+    def __init__(self, term: dict[str, int], cut=words):
+        self.term, self.known, self.cut = term, {}, cut
 
     def ids(self, text: str) -> np.ndarray:
         parts = text.split()
@@ -175,7 +175,7 @@ class Terms:
                 self.known.clear()
                 new = set(parts)
             for p in new:
-                self.known[p] = np.array([self.term.get(w, -1) for w in words(p)], "<i4").tobytes()
+                self.known[p] = np.array([self.term.get(w, -1) for w in self.cut(p)], "<i4").tobytes()
         return np.frombuffer(b"".join(map(self.known.__getitem__, parts)), "<i4")
 
 

@@ -22,16 +22,22 @@ def language_mixture(spark, folder):
     return identify(docs, learn_from(docs)).withColumn("held_out", held_out())
 
 
+@llm.add("op3_simhash_near_duplicates")
+def simhash(spark, folder):
+    from tideline.llm.simhash import near_duplicates
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 @llm.add("op4_decontaminate")
 def decontaminate(spark, folder):
     from tideline.llm.decontaminate import contaminated
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@llm.add("op3_simhash_near_duplicates")
-def simhash(spark, folder):
-    from tideline.llm.simhash import near_duplicates
-    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+@llm.add("op5_line_block_text")
+def html_text(spark, folder):
+    from tideline.llm.html_text import extract
+    return extract(table(spark, folder, "pages"))
 
 
 @llm.add("op6_best_fit_packing")
@@ -50,3 +56,19 @@ def shards(spark, folder):
 def suffix_dedup(spark, folder):
     from tideline.llm.suffix_index import remove_repeats
     return remove_repeats(table(spark, folder, "documents"))
+
+
+@llm.add("op9_rule_ensemble_quality")
+def quality(spark, folder):
+    from tideline.llm.common import held_out
+    from tideline.llm.rule_ensemble import learn_from, quality
+    docs = table(spark, folder, "documents")
+    return quality(docs, learn_from(docs, table(spark, folder, "labels"))).withColumn("held_out", held_out())
+
+
+@llm.add("op10_ordinal_severity")
+def severity(spark, folder):
+    from tideline.llm.common import held_out
+    from tideline.llm.severity import learn_from, toxicity
+    docs = table(spark, folder, "documents")
+    return toxicity(docs, learn_from(docs, table(spark, folder, "labels"))).withColumn("held_out", held_out())
