@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[ \x09-\x0D]"
+CHARS = 1 << 18            # characters that array code handles together
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +23,19 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def portions(texts: list[str], chars: int = CHARS):
+    """(first row, texts) in runs of about ``chars`` characters."""
+    part, size, at = [], 0, 0
+    for i, t in enumerate(texts):
+        if part and size + len(t) > chars:
+            yield at, part
+            part, size, at = [], 0, i
+        part.append(t)
+        size += len(t)
+    if part:
+        yield at, part
+
+
 def per_batch(fn: Callable, df: DataFrame, schema: str) -> DataFrame:
     """``fn(pyarrow.RecordBatch) -> pyarrow.RecordBatch`` over the Arrow batches of ``df``."""
     def run(batches):

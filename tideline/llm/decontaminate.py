@@ -4,10 +4,10 @@ An inverted index with BM25 impacts is built over the items; every passage of
 every document is a query. An impact is divided by the item's own score, so a
 passage that holds all of an item's words scores 1, whatever the item's length.
 
-Retrieval skips as WAND does. Within an item, the lightest words that together
-stay below the threshold cannot carry it: a passage that reaches the threshold
-holds one of the others, the pivot words. Only pivot words have postings. They
-are added up first against the maxima of blocks of items, then, in blocks that
+Retrieval skips as WAND does. Within an item, the lightest words, which add up
+to less than half the threshold, cannot carry it: a passage that reaches the
+threshold holds enough of the others, the pivot words. Only they have postings,
+which are added up first against the maxima of blocks of items, then, in blocks that
 can still reach the threshold, against single items; both bounds include all
 lighter words, so no passage above the threshold is lost. What remains is
 scored exactly and verified: the shares of five-word shingles of the question
@@ -32,9 +32,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import whole
+from tideline.llm.common import portions, whole
 
 THRESHOLD = 0.6            # of the item's own BM25 score
+LIGHT = 0.3                # of it, that an item's words without postings may add up to
 OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 64                 # items of a block
@@ -92,7 +93,7 @@ class ItemIndex:
             w = {t: x / own for t, x in w.items()}
             self.impact.append(w)
             for t, x in sorted(w.items(), key=lambda e: (e[1], e[0])):
-                if self.lighter[i] + x < threshold - 1e-9:
+                if self.lighter[i] + x < LIGHT:
                     self.lighter[i] += x
                 else:
                     posts.append((t, i, x))
@@ -128,9 +129,9 @@ class ItemIndex:
         return p[ok], t[ok]
 
     def candidates(self, ids: np.ndarray) -> list[tuple[int, int]]:
-        """(passage, item) that can reach the threshold; passage k covers the words from k * stride."""
+        """(passage, item) that can reach the threshold; passage k covers two strides from word k * stride."""
         heavy = self.pivot[0][1:] > self.pivot[0][:-1]
-        at = np.flatnonzero((ids >= 0) & np.r_[heavy, False][ids])
+        at = np.flatnonzero(np.r_[heavy, False][ids])          # unknown words are -1, the added False
         if not len(at):
             return []
         stride = at // self.stride
@@ -146,19 +147,35 @@ class ItemIndex:
         p, i = self._reach(self.pivot, passage[alive], term[alive], self.lighter, self.threshold, (p * width + b, width))
         return list(zip(p.tolist(), i.tolist()))
 
-    def matches(self, ids: np.ndarray) -> list[tuple[int, float, float, float, int]]:
-        """(item, score, question overlap, answer overlap, first word) of the best verified passage per item."""
-        best: dict[int, tuple] = {}
+    def matches(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, float, int]]]:
+        """Per text, (item, score, question overlap, answer overlap, first word) of the best verified passage per item.
+
+        Texts are laid out in one array, each followed by a blank stride, so no
+        passage spans two texts.
+        """
+        strides = np.array([-(-len(t) // self.stride) + 1 for t in texts])
+        first = np.cumsum(strides) - strides
+        ids = np.full(strides.sum() * self.stride, -1, np.int32)
+        for t, at in zip(texts, first * self.stride):
+            ids[at:at + len(t)] = t
+        best: list[dict[int, tuple]] = [{} for _ in texts]
+        sets: dict[int, set] = {}
         for k, i in self.candidates(ids):
-            passage = ids[k * self.stride:(k + 2) * self.stride].tolist()
-            have, impact = set(passage), self.impact[i]
-            score = sum(x for t, x in impact.items() if t in have)
+            have = sets.get(k)
+            if have is None:
+                have = sets[k] = set(ids[k * self.stride:(k + 2) * self.stride].tolist())
+            score = sum(x for t, x in self.impact[i].items() if t in have)
             if score < self.threshold:
                 continue
+            passage = ids[k * self.stride:(k + 2) * self.stride].tolist()
             q, a = (share(part, passage) for part in self.parts[i])
-            if q >= OVERLAP and a >= OVERLAP and (i not in best or (score, q + a) > (best[i][1], best[i][2] + best[i][3])):
-                best[i] = (i, float(score), q, a, k * self.stride)
-        return list(best.values())
+            if q < OVERLAP or a < OVERLAP:
+                continue
+            row = int(np.searchsorted(first, k, side="right")) - 1
+            old = best[row].get(i)
+            if old is None or (score, q + a) > (old[1], old[2] + old[3]):
+                best[row][i] = (i, float(score), q, a, int(k - first[row]) * self.stride)
+        return [list(b.values()) for b in best]
 
 
 class Terms:
@@ -204,9 +221,10 @@ def _matches(docs: DataFrame, index: ItemIndex) -> DataFrame:
         terms = Terms(index.term)
         for batch in batches:
             rows = []
-            for i, t in zip(*(c.to_pylist() for c in batch.columns)):
-                for item, *rest in index.matches(terms.ids(t)):
-                    rows.append((i, index.ids[item], *rest))
+            doc, texts = (c.to_pylist() for c in batch.columns)
+            for at, part in portions(texts):
+                for i, found in zip(doc[at:], index.matches([terms.ids(t) for t in part])):
+                    rows.extend((i, index.ids[item], *rest) for item, *rest in found)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)],
                 names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import held_out, per_batch, whole
+from tideline.llm.common import held_out, per_batch, portions, whole
 
 PER_LANGUAGE = 3000        # expected rows a language is learned from
 BUCKETS = 1 << 16          # of hashed trigrams
@@ -28,7 +28,6 @@ SMOOTHING = 0.1
 FLOOR = 1e-9               # least likelihood of a word relative to its best language
 PENALTY = 2.0              # times log(words) / 2 for each further language
 STEPS = 20
-CHARS = 1 << 18            # characters handled together
 
 _LETTER: list[np.ndarray] = []
 
@@ -55,19 +54,6 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (mixed >> np.uint32(16))[inside], starts, np.searchsorted(ends, np.flatnonzero(begins), side="right")
 
 
-def portions(texts: list[str], chars: int = CHARS):
-    """(first row, texts) in runs of about ``chars`` characters."""
-    part, size, at = [], 0, 0
-    for i, t in enumerate(texts):
-        if part and size + len(t) > chars:
-            yield at, part
-            part, size, at = [], 0, i
-        part.append(t)
-        size += len(t)
-    if part:
-        yield at, part
-
-
 def learn(rows: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities by bucket and language) from ``rows`` (id, text, lang)."""
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")

@@ -26,13 +26,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import per_batch, whole
+from tideline.llm.common import portions, whole
 from tideline.session import cut_lineage
 
 CAPACITY = 2048
 CLOSING_ID = 0
 GROUP = 8192               # pieces packed together
-WORDS_KEPT = 400_000       # words of which a worker remembers the ids
+STRINGS_KEPT = 300_000     # strings of which a worker remembers the ids
 
 
 def tokenizer_file() -> str:
@@ -40,34 +40,51 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
 class Tokens:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE never joins ids over a blank that is followed by a
-    non-blank, so a text is cut there and each word with its leading blank is
-    encoded once and remembered.
+    non-blank, nor over the end of a run of letters. A text is cut there, and
+    each string is encoded once and remembered.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def words(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        if "" in parts[1:] or any(p[0].isspace() for p in parts[1:]):
-            parts = re.split(r" (?=\S)", text)
-        return [parts[0], *map(" ".__add__, parts[1:])]
+        self.tokenizer, self.words, self.strings = Tokenizer.from_file(path), {}, {}
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of some strings, by their leading letters and the rest."""
+        cuts = []
+        for w in new:
+            m = _LETTERS.match(w, w[:1] == " ")
+            at = m.end() if m and m[0].isalpha() else len(w)
+            cuts.append((w[:at], w[at:]))
+        unknown = list(set(chain.from_iterable(cuts)).difference(self.strings))
+        if unknown:
+            coded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
+            self.strings.update((u, np.array(c.ids, "<u4").tobytes()) for u, c in zip(unknown, coded))
+        return [self.strings[a] + self.strings[b] for a, b in cuts]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        split = [self.words(t) for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.known))
-        if new:
-            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded))
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        if len(self.strings) > STRINGS_KEPT or len(self.words) > 2 * STRINGS_KEPT:
+            self.strings.clear()
+            self.words.clear()
+        split = [t.split(" ") for t in texts]
+        first = [parts.pop(0) for parts in split]
+        new = set().union(*split).difference(self.words)
+        odd = {w for w in new if not w or w[0].isspace()}      # after a blank that joins further white space
+        if odd:
+            for i, t in enumerate(texts):
+                if not odd.isdisjoint(split[i]):
+                    first[i], *split[i] = re.split(r" (?=\S)", t)
+            new = set().union(*split).difference(self.words)
+        new = list(new)
+        self.words.update(zip(new, self._learn([" " + w for w in new])))
+        return [a + b"".join(map(self.words.__getitem__, parts)) for a, parts in zip(self._learn(first), split)]
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -80,7 +97,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
             rows = []
-            for at, part in _portions(texts):
+            for at, part in portions(texts, 1 << 20):
                 for i, coded in zip(ids[at:at + len(part)], tokens.encode(part)):
                     coded += end
                     n = len(coded) // 4
@@ -97,19 +114,6 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
                         "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _portions(texts: list[str], size: int = 1 << 20):
-    """Consecutive texts of about ``size`` characters."""
-    part, chars, at = [], 0, 0
-    for i, t in enumerate(texts):
-        if part and chars + len(t) > size:
-            yield at, part
-            part, chars, at = [], 0, i
-        part.append(t)
-        chars += len(t)
-    if part:
-        yield at, part
-
-
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY, documents: int | None = None,
              attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
              rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:
