@@ -150,8 +150,8 @@ class ItemIndex:
     def matches(self, texts: list[np.ndarray]) -> list[list[tuple[int, float, float, float, int]]]:
         """Per text, (item, score, question overlap, answer overlap, first word) of the best verified passage per item.
 
-        Texts are laid out in one array, each followed by a blank stride, so no
-        passage spans two texts.
+        Texts are laid out in one array, each followed by a blank stride; the
+        passages that begin there are left out, so none spans two texts.
         """
         strides = np.array([-(-len(t) // self.stride) + 1 for t in texts])
         first = np.cumsum(strides) - strides
@@ -160,7 +160,10 @@ class ItemIndex:
             ids[at:at + len(t)] = t
         best: list[dict[int, tuple]] = [{} for _ in texts]
         sets: dict[int, set] = {}
+        blank = set((first + strides - 1).tolist())
         for k, i in self.candidates(ids):
+            if k in blank:
+                continue
             have = sets.get(k)
             if have is None:
                 have = sets[k] = set(ids[k * self.stride:(k + 2) * self.stride].tolist())
