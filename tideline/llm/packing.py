@@ -16,23 +16,19 @@ as they come; further columns are ignored.
 """
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import portions, whole
+from tideline.llm.common import whole
 from tideline.session import cut_lineage
 
 CAPACITY = 2048
 CLOSING_ID = 0
 GROUP = 8192               # pieces packed together
-STRINGS_KEPT = 300_000     # strings of which a worker remembers the ids
 
 
 def tokenizer_file() -> str:
@@ -40,51 +36,28 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
-
-
 class Tokens:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts under a byte-level BPE file.
 
-    A byte-level BPE never joins ids over a blank that is followed by a
-    non-blank, nor over the end of a run of letters. A text is cut there, and
-    each string is encoded once and remembered.
+    ``tokenizers`` reads the file; ``tiktoken`` merges with its vocabulary,
+    where the id of a string is also its merge rank. Both give the same ids,
+    and the latter returns them as an array without an object per id.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
+        from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
-        self.tokenizer, self.words, self.strings = Tokenizer.from_file(path), {}, {}
-
-    def _learn(self, new: list[str]) -> list[bytes]:
-        """Ids of some strings, by their leading letters and the rest."""
-        cuts = []
-        for w in new:
-            m = _LETTERS.match(w, w[:1] == " ")
-            at = m.end() if m and m[0].isalpha() else len(w)
-            cuts.append((w[:at], w[at:]))
-        unknown = list(set(chain.from_iterable(cuts)).difference(self.strings))
-        if unknown:
-            coded = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-            self.strings.update((u, np.array(c.ids, "<u4").tobytes()) for u, c in zip(unknown, coded))
-        return [self.strings[a] + self.strings[b] for a, b in cuts]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.strings) > STRINGS_KEPT or len(self.words) > 2 * STRINGS_KEPT:
-            self.strings.clear()
-            self.words.clear()
-        split = [t.split(" ") for t in texts]
-        first = [parts.pop(0) for parts in split]
-        new = set().union(*split).difference(self.words)
-        odd = {w for w in new if not w or w[0].isspace()}      # after a blank that joins further white space
-        if odd:
-            for i, t in enumerate(texts):
-                if not odd.isdisjoint(split[i]):
-                    first[i], *split[i] = re.split(r" (?=\S)", t)
-            new = set().union(*split).difference(self.words)
-        new = list(new)
-        self.words.update(zip(new, self._learn([" " + w for w in new])))
-        return [a + b"".join(map(self.words.__getitem__, parts)) for a, parts in zip(self._learn(first), split)]
+        read = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in read.get_added_tokens_decoder().items()}
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]     # bytes written as their own character
+        byte = {chr(b): b for b in own}
+        byte.update((chr(256 + i), b) for i, b in enumerate(sorted(set(range(256)) - set(own))))
+        ranks = {bytes(map(byte.__getitem__, w)): i for w, i in read.get_vocab().items() if w not in special}
+        self.coder = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.coder.encode_to_numpy(text, allowed_special="all")
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -93,18 +66,16 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity
     path = tokenizer or tokenizer_file()
 
     def run(batches):
-        tokens, end = Tokens(path), np.array([closing], "<u4").tobytes()
+        tokens = Tokens(path)
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
             rows = []
-            for at, part in portions(texts, 1 << 20):
-                for i, coded in zip(ids[at:at + len(part)], tokens.encode(part)):
-                    coded += end
-                    n = len(coded) // 4
-                    size, start = n - (n - 1) // capacity * capacity, 0
-                    for k in range(1 + (n - 1) // capacity):
-                        rows.append((i, k, start, size, zlib.crc32(coded[4 * start:4 * (start + size)])))
-                        start, size = start + size, capacity
+            for i, text in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = np.append(tokens.ids(text), closing).astype("<u4")
+                more = (len(ids) - 1) // capacity
+                size, start = len(ids) - more * capacity, 0
+                for k in range(1 + more):
+                    rows.append((i, k, start, size, zlib.crc32(ids[start:start + size])))
+                    start, size = start + size, capacity
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                              names=["doc_id", "piece", "start", "length", "ids_crc32"])
