@@ -129,7 +129,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP, **limits)
     stored = cut_lineage(cut)
     groups = max(1, -(-stored.count() // group))
 
-    def run(key, x: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
         seq, off = best_fit(x["length"].to_numpy(), capacity, **limits)
         return x.assign(sequence_id=(int(key[0]) << 32) + seq, offset=off).drop(columns="g")
 
