@@ -32,4 +32,4 @@ def total_over(col, window: Window) -> Column:
 
 
 def mean_over(col, window: Window) -> Column:
-    return total_over(col, window) / F.count(F.col(col) if isinstance(col, str) else col).over(window)
+    return total_over(col, window) / F.count(millionths(col)).over(window)

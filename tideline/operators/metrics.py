@@ -67,20 +67,27 @@ def best_threshold(c: DataFrame, beta: float = 2.0, floor: float | None = None)
 
 
 def roc_auc(c: DataFrame) -> DataFrame:
-    """Share of (positive, negative) pairs in the right order, ties half; exact integers inside."""
+    """Share of (positive, negative) pairs in the right order, ties half; exact integers inside.
+
+    Null without positives or without negatives.
+    """
     big = "decimal(38,0)"
     neg = F.col("n") - F.col("pos")
     below = F.col("cn") - F.col("cp") - neg
     # counts of one step times counts below: each factor stays below 2^63
     pairs = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * below + neg).cast("decimal(19,0)"))
     total_pos, total_neg = F.max("total_pos"), F.max("total_n") - F.max("total_pos")
-    return c.agg((pairs.cast("double") / 2 / (total_pos.cast("double") * total_neg.cast("double")))
+    return c.agg(F.try_divide(pairs.cast("double") / 2, total_pos.cast("double") * total_neg.cast("double"))
                  .alias("auc_roc"))
 
 
 def average_precision(c: DataFrame, keys: list[str] = ()) -> DataFrame:
-    """Sum over thresholds of the recall step times the precision (no interpolation)."""
-    return c.groupBy(*keys).agg(F.sum(F.col("pos") / F.col("total_pos") * precision()).alias("auc_pr"))
+    """Sum over thresholds of the recall step times the precision (no interpolation); 0 without positives."""
+    return c.groupBy(*keys).agg(_step_sum().alias("auc_pr"))
+
+
+def _step_sum():
+    return F.coalesce(F.sum(F.try_divide(F.col("pos"), F.col("total_pos")) * precision()), F.lit(0.0))
 
 
 def ranking_metrics(c: DataFrame) -> DataFrame:
@@ -89,8 +96,7 @@ def ranking_metrics(c: DataFrame) -> DataFrame:
     below = F.col("cn") - F.col("cp") - neg
     pairs = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * below + neg).cast("decimal(19,0)"))
     P, N = F.max("total_pos").cast("double"), (F.max("total_n") - F.max("total_pos")).cast("double")
-    return c.agg((pairs.cast("double") / 2 / (P * N)).alias("auc_roc"),
-                 F.sum(F.col("pos") / F.col("total_pos") * precision()).alias("auc_pr"))
+    return c.agg(F.try_divide(pairs.cast("double") / 2, P * N).alias("auc_roc"), _step_sum().alias("auc_pr"))
 
 
 # ---- at a threshold ------------------------------------------------------------------
@@ -213,8 +219,12 @@ def score_percentiles(c: DataFrame, points=None) -> DataFrame:
 
 
 def histogram(df: DataFrame, bins: int = 60, score="risk_score", label=S.TARGET) -> DataFrame:
-    """Density per class over equal-width bins between the smallest and largest score."""
-    span = df.agg(F.min(score).alias("a"), F.max(score).alias("z"))
+    """Density per class over equal-width bins between the smallest and largest score.
+
+    Equal scores are spread over half a unit on either side.
+    """
+    same = F.when(F.min(score) == F.max(score), F.lit(0.5)).otherwise(F.lit(0.0))
+    span = df.agg((F.min(score) - same).alias("a"), (F.max(score) + same).alias("z"))
     lo, hi = span.select("a").scalar(), span.select("z").scalar()
     width = (hi - lo) / F.lit(float(bins))
     place = F.least(F.floor((F.col(score) - lo) / width), F.lit(bins - 1)).cast("int")

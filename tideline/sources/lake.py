@@ -82,7 +82,8 @@ def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], mode: str = "fi
         new = batch.dropDuplicates(keys) if dedupe else batch
         return stored.unionByName(absent(new, stored, keys))
     if mode == "latest_wins":
-        return stored.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        new = batch.dropDuplicates(keys) if dedupe else batch
+        return stored.join(new.select(*keys), keys, "left_anti").unionByName(new)
     raise ValueError(f"unknown mode {mode}")
 
 
