@@ -109,15 +109,16 @@ def rank_sum_test(ranks: DataFrame, min_class: int = 10, alpha: float = 0.05) ->
         .alias("effect_direction")).orderBy("p_value", F.col("z").desc(), "feature")
 
 
-def importance(corr: DataFrame, test: DataFrame, top: int = 20) -> DataFrame:
-    """Correlation and test side by side, by absolute correlation."""
+def importance(corr: DataFrame, test: DataFrame, top: int | None = None) -> DataFrame:
+    """Correlation and test side by side, by absolute correlation; ``top`` keeps the first of them."""
     right = test.select("feature", "flood_median", "no_flood_median", "delta_median",
                         F.col("p_value").alias("p_value_mw"), F.col("significant").alias("significant_mw"),
                         "effect_direction")
     left = corr.select("feature", "correlation", F.col("p_value").alias("p_value_corr"),
                        F.col("significant").alias("significant_corr"))
-    return (left.join(right, "feature").withColumn("abs_corr", F.abs("correlation"))
-            .orderBy(F.col("abs_corr").desc(), "feature").limit(top))
+    both = (left.join(right, "feature").withColumn("abs_corr", F.abs("correlation"))
+            .orderBy(F.col("abs_corr").desc(), "feature"))
+    return both if top is None else both.limit(top)
 
 
 def correlation_matrix(df: DataFrame, features: list[str], method: str = "spearman") -> DataFrame:

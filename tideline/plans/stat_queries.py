@@ -89,10 +89,10 @@ def _(spark, d):
 
 
 @stat.add("T6s_top_importance", O.sql(
-    "SELECT r.feature, round(abs(r), 9) AS abs_corr FROM rho r ORDER BY abs(r) DESC, r.feature LIMIT 5", "h_base", extra=_U))
+    "SELECT r.feature, round(abs(r), 9) AS abs_corr FROM rho r ORDER BY abs(r) DESC, r.feature LIMIT 20", "h_base", extra=_U))
 def _(spark, d):
     ranks = T.rank_table(labelled(spark, d), FEATURES)
-    return T.importance(T.spearman(ranks), T.rank_sum_test(ranks), top=5).select(
+    return T.importance(T.spearman(ranks), T.rank_sum_test(ranks), top=20).select(
         "feature", F.round("abs_corr", 9).alias("abs_corr"))
 
 
@@ -125,6 +125,14 @@ def _(spark, d):
     return m.filter(F.col("i") < F.col("j")).select("feature_a", "feature_b", F.round("rho", 6).alias("rho"))
 
 
+@stat.add("T2s_pearson_matrix", O.sql(" UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS r FROM h_base" for a, b in _PAIRS),
+    "h_base"))
+def _(spark, d):
+    m = T.correlation_matrix(labelled(spark, d), _PAIR, "pearson")
+    return m.filter(F.col("i") < F.col("j")).select("feature_a", "feature_b", F.round("rho", 6).alias("r"))
+
+
 @stat.add("T4s_redundant_pairs", O.sql("SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS rho FROM rr" for a, b in _PAIRS)
     + ") q WHERE rho > 0.6", "h_base", extra=_CELLS))
