@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.functions import tails
-from tideline.operators import metrics as M, report as P, scale as K, splits as T, stats as Z
+from tideline.operators import metrics as M, report as P, splits as T, stats as Z
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +20,7 @@ def scored(spark):
 
 @pytest.fixture(scope="module", params=["one block", "many blocks"])
 def curve(request, spark, scored):
-    counts = M.score_counts(scored[1])
-    block = None if request.param == "one block" else K.value_blocks(counts, ["threshold"], blocks=9, sample=30)
-    return M.curve(scored[1], block=block)
+    return M.curve(scored[1], parts=1 if request.param == "one block" else 9)
 
 
 def brute(rows):
@@ -109,14 +107,11 @@ def ranks(v):
     return np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
 
 
-@pytest.mark.parametrize("blocked", [False, True])
-def test_rank_statistics(spark, table, blocked):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_rank_statistics(spark, table, parts):
     rows, df = table
     feats = ["a", "b", "flat"]
-    block = None
-    if blocked:
-        block = K.value_blocks(Z.long_form(df, feats).select("feature", "value").distinct(), ["feature", "value"], 7, 40)
-    rt = Z.rank_table(df, feats, block=block)
+    rt = Z.rank_table(df, feats, parts=parts)
     rho = {r["feature"]: r for r in Z.spearman(rt).collect()}
     mw = {r["feature"]: r for r in Z.rank_sum_test(rt).collect()}
     for i, f in enumerate(feats[:2], 1):

@@ -1,12 +1,13 @@
 """Blocked computations give what one big window would give."""
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
-from tideline.operators import features as X, scale as K
+from tideline.operators import features as X, metrics as M, scale as K
 
 
 @pytest.fixture(scope="module")
@@ -60,38 +61,54 @@ def test_halo_needs_a_block_longer_than_the_frame(gappy):
         K.halo_windows(gappy, ["zone"], "time_6h", 11, lambda w: [], rows=11)
 
 
-def test_value_blocks_follow_the_order_and_cover_many_blocks(spark):
+def test_staged_blocks_follow_the_order(spark):
     df = spark.range(5000).select((F.col("id") * 37 % 5000 / 7).alias("v"), F.lit("k").alias("k"))
-    block = K.value_blocks(df, ["k", "v"], blocks=20, sample=400)
-    got = df.withColumn("b", block).orderBy("v").collect()
-    numbers = [r["b"] for r in got]
+    stored, block = K.staged_blocks(df, ["k", "v"], 20)
+    numbers = [r["b"] for r in stored.withColumn("b", block).orderBy("v").collect()]
     assert numbers == sorted(numbers) and len(set(numbers)) >= 15
 
 
-def test_value_blocks_on_a_small_frame_are_one_block(spark):
-    df = spark.range(10).select(F.col("id").cast("double").alias("v"))
-    assert K.value_blocks(df, ["v"]) is None
+def operators_of(df):
+    text = df._jdf.queryExecution().sparkPlan().toString()
+    return re.findall(r"^[ :+-]*(?:\* ?)?([A-Z]\w+)", text, re.M)
 
 
-def test_running_without_blocks_is_the_same(gappy):
-    args = (["zone"], ["time_6h"])
-    values = {"s": (F.col("flag"), "sum"), "m": (F.col("x"), "max")}
-    a = K.running(gappy, *args, K.time_block("time_6h", 45), values, totals=["s"], before=["s", "m"])
-    b = K.running(gappy, *args, None, values, totals=["s"], before=["s", "m"])
-    assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+def test_small_and_large_frames_have_the_same_plan(spark):
+    plans = []
+    for n in (10, 20000):
+        df = spark.range(n).select((F.col("id") * 7919 % n / 3).alias("risk_score"), (F.col("id") % 2).cast("int").alias("is_flood"))
+        c = M.curve(df)
+        assert c.agg(F.max("cn")).first()[0] == n
+        plans.append(operators_of(c))
+    assert plans[0] == plans[1] and "Window" in plans[0]
 
 
-def test_exact_quantiles_match_numpy_over_blocks(spark):
+def test_running_over_values_of_empty_and_one_row_frames(spark):
+    for n in (0, 1):
+        df = spark.range(n).select(F.lit(0.5).alias("risk_score"), F.lit(1).alias("is_flood"))
+        assert M.curve(df).count() == n
+
+
+def test_running_before_max_and_sum(gappy):
+    got = K.running(gappy, ["zone"], ["time_6h"], K.time_block("time_6h", 45),
+                    {"s": (F.col("flag"), "sum"), "m": (F.col("x"), "max")}, before=["s", "m"])
+    w = Window.partitionBy("zone").orderBy("time_6h").rowsBetween(Window.unboundedPreceding, -1)
+    plain = gappy.select("zone", "time_6h", F.coalesce(F.sum("flag").over(w), F.lit(0)).alias("s_before"),
+                         F.max("x").over(w).alias("m_before"))
+    assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("parts", [None, 1, 8])
+def test_exact_quantiles_match_numpy_over_blocks(spark, parts):
     rnd = random.Random(3)
     data = [("a", round(rnd.random(), 2)) for _ in range(700)] + [("b", 5.0)] + [("c", float(i)) for i in range(4)]
     df = spark.createDataFrame(data, "k string, v double")
-    counts = df.select("k", "v").distinct()
-    block = K.value_blocks(counts, ["k", "v"], blocks=8, sample=60)
     points = {"q1": 0.1, "q2": 0.5, "q3": 0.9}
-    for b in (None, block):
-        for r in K.exact_quantiles(df, ["k"], "v", points, b).collect():
-            vals = [v for k, v in data if k == r["k"]]
-            assert [r[p] for p in points] == pytest.approx([np.quantile(vals, q) for q in points.values()])
+    got = K.exact_quantiles(df, ["k"], "v", points, parts).collect()
+    assert len(got) == 3
+    for r in got:
+        vals = [v for k, v in data if k == r["k"]]
+        assert [r[p] for p in points] == pytest.approx([np.quantile(vals, q) for q in points.values()])
 
 
 def test_gold_window_features_do_not_depend_on_the_block_size(spark, slots):

@@ -19,13 +19,12 @@ def score_counts(df: DataFrame, score="risk_score", label=S.TARGET, keys: list[s
             .agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("pos")))
 
 
-def curve(df: DataFrame, score="risk_score", label=S.TARGET, block: Column | None = None,
+def curve(df: DataFrame, score="risk_score", label=S.TARGET, parts: int | None = None,
           keys: list[str] = ()) -> DataFrame:
     """Per distinct score: rows and positives at or above it, below it, and in all."""
     keys = list(keys)
     counts = score_counts(df, score, label, keys)
-    if block is None:
-        counts, block = staged_blocks(counts, keys + ["threshold"])
+    counts, block = staged_blocks(counts, keys + ["threshold"], parts)
     x = running(counts, keys, ["threshold"], block,
                 {"cn": (F.col("n"), "sum"), "cp": (F.col("pos"), "sum")}, totals=["cn", "cp"])
     return x.select(

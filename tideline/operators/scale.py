@@ -9,20 +9,15 @@ Both give exactly what the plain window gives.
 """
 from __future__ import annotations
 
-import datetime as dt
-import json
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 from tideline.session import cut_lineage
 
 BLOCK_DAYS = 1024          # 4,096 six-hour slots
 ROWS_PER_BLOCK = 4096
-SAMPLE_ROWS = 8192         # bound of what a boundary search brings to the driver
-VALUE_BLOCKS = 256
+BLOCK = "_block"           # stored part number of a staged frame
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -33,59 +28,19 @@ def time_block(time, days: int = BLOCK_DAYS) -> Column:
     return F.floor(F.datediff(F.to_date(col), F.lit("1970-01-01").cast("date")) / F.lit(days))
 
 
-def _literal_array(rows: list[tuple], kinds: list[T.DataType]) -> Column:
-    """A constant array; one JSON literal, which the optimizer folds."""
-    def plain(v):
-        return v.isoformat() if isinstance(v, (dt.datetime, dt.date)) else v
+def staged_blocks(df: DataFrame, cols: list[str], parts: int | None = None) -> tuple[DataFrame, Column]:
+    """``df`` written in the order of ``cols``, and the block of each row.
 
-    if len(kinds) == 1:
-        entry, data = kinds[0], [plain(r[0]) for r in rows]
-    else:
-        entry = T.StructType([T.StructField(f"k{i}", k) for i, k in enumerate(kinds)])
-        data = [{f"k{i}": plain(v) for i, v in enumerate(r)} for r in rows]
-    return F.from_json(F.lit(json.dumps(data)), T.ArrayType(entry))
-
-
-def value_blocks(df: DataFrame, cols: list[str], blocks: int = VALUE_BLOCKS,
-                 sample: int = SAMPLE_ROWS) -> Column | None:
-    """Block number over the lexicographic order of ``cols`` (rows distinct on them).
-
-    The boundaries are quantiles of the ``sample`` rows with the smallest hash:
-    the same rows whatever the task order, and never more than ``sample`` of
-    them on the driver. They become literals, so each use of the returned
-    column cuts at the same places. A frame below ``sample`` rows needs no
-    blocks, which is None.
+    A block is one part of a range shuffle; its number is stored with the rows,
+    so every later read cuts at the same places. Spark picks the number of parts
+    from its shuffle settings unless ``parts`` does. Staging also runs what lies
+    below the block totals and the rows once.
     """
-    rows = (df.select(*cols).orderBy(F.xxhash64(*cols), *cols).limit(sample).collect())
-    if len(rows) < sample:
-        return None
-    kinds = [df.schema[c].dataType for c in cols]
-    keys = sorted(tuple(r) for r in rows)
-    step = max(1, len(keys) // blocks)
-    cuts = sorted(set(keys[step::step]))
-
-    stride = max(1, math.isqrt(len(cuts)))
-    row = F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c).alias(f"k{i}")
-                                                           for i, c in enumerate(cols)])
+    ranged = df.repartitionByRange(*cols) if parts is None else df.repartitionByRange(parts, *cols)
+    return cut_lineage(ranged.withColumn(BLOCK, F.spark_partition_id())), F.col(BLOCK)
 
-    def passed(edges):
-        return F.size(F.filter(edges, lambda edge: edge <= row))
 
-    coarse = passed(_literal_array(cuts[stride - 1::stride], kinds)) * stride
-    return coarse + passed(F.slice(_literal_array(cuts, kinds), coarse + 1, F.lit(stride)))
-
-
-def staged_blocks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Column | None]:
-    """``df`` written to the shared folder, and its blocks over ``cols``.
-
-    A running value reads its input for the boundaries, the block totals and
-    the rows; staging the pre-aggregated input runs what lies above it once.
-    """
-    stored = cut_lineage(df)
-    return stored, value_blocks(stored, cols)
-
-
-def running(df: DataFrame, keys: list[str], order: list, block: Column | None,
+def running(df: DataFrame, keys: list[str], order: list, block: Column,
             values: dict[str, tuple[Column, str]], totals: list[str] = (),
             before: list[str] = ()) -> DataFrame:
     """Add running values per ``keys`` in ``order``, the current row included.
@@ -95,11 +50,8 @@ def running(df: DataFrame, keys: list[str], order: list, block: Column | None,
     the whole key; names in ``before`` get the value without the current row.
     The block table has one row per key and block; only it sees a whole key.
     Key values must not be null. The join finds the rows where the local window
-    left them, so the data is shuffled once. Without a ``block`` (a frame known
-    to be small) it is one plain window per key.
+    left them, so the data is shuffled once.
     """
-    if block is None:
-        return _running_small(df, keys, order, values, totals, before)
     x = df.withColumn("_b", block)
     for name, (col, _) in values.items():
         x = x.withColumn(f"_v_{name}", col)
@@ -129,28 +81,13 @@ def running(df: DataFrame, keys: list[str], order: list, block: Column | None,
                 + [F.col("_b") == F.col("_k_b")])
     joined = inside.join(offsets, on, "left")
     return joined.select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) for c in df.columns if c != BLOCK],
         *[combine(how, F.col(f"_o_{n}"), F.col(f"_w_{n}")).alias(n) for n, (_, how) in values.items()],
         *[combine(values[n][1], F.col(f"_o_{n}"), F.col(f"_p_{n}")).alias(f"{n}_before")
           for n in before],
         *[F.col(f"{n}_total") for n in totals])
 
 
-def _running_small(df, keys, order, values, totals, before) -> DataFrame:
-    whole = Window.partitionBy(*[F.col(k) for k in keys] or [F.lit(0)])
-    upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    prior = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-
-    def over(n, w, fill=True):
-        col, how = values[n]
-        out = _MERGE[how](col).over(w)
-        return F.coalesce(out, F.lit(0)) if fill and how == "sum" else out
-
-    return df.select("*", *[over(n, upto).alias(n) for n in values],
-                     *[over(n, prior).alias(f"{n}_before") for n in before],
-                     *[over(n, whole, False).alias(f"{n}_total") for n in totals])
-
-
 def row_index(df: DataFrame, keys: list[str], order: list, block: Column,
               name: str = "row_index") -> DataFrame:
     """0-based position of each row inside its key."""
@@ -182,7 +119,7 @@ def halo_windows(df: DataFrame, keys: list[str], order: str, back: int, build,
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
-                    block: Column | None = None) -> DataFrame:
+                    parts: int | None = None) -> DataFrame:
     """Interpolated quantiles per key, without a per-key buffer.
 
     Equal values are counted first; a running count then tells which value
@@ -190,8 +127,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
     """
     counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
                 .agg(F.count(F.lit(1)).alias("_n")))
-    if block is None:
-        counts, block = staged_blocks(counts, keys + [value])
+    counts, block = staged_blocks(counts, keys + [value], parts)
     ranked = running(counts, keys, [value], block, {"_c": (F.col("_n"), "sum")},
                      totals=["_c"])
     return ranked.groupBy(*keys).agg(*quantile_columns("_c", "_n", "_c_total", value, points))

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline import settings as S
-from tideline.operators.scale import row_index, running, time_block
+from tideline.operators.scale import row_index, running, staged_blocks, time_block
 from tideline.session import cut_lineage
 
 TIME = "time_6h"
@@ -109,12 +109,12 @@ def shuffled(df: DataFrame, keys: list[str], identity: list[str], seed: int,
              name: str = "draw") -> DataFrame:
     """Position of each row in a seeded random order inside its key.
 
-    The order is that of a hash of the identity columns; the hash is uniform,
-    so its top bits are balanced blocks and no key is sorted in one task.
+    The order is that of a hash of the identity columns, taken over the parts of
+    a range shuffle, so no key is sorted in one task.
     """
-    x = df.withColumn("_h", F.xxhash64(F.lit(seed), *identity))
-    block = F.floor(F.col("_h") / F.lit(2.0 ** 52))
-    return row_index(x, keys, ["_h", *identity], block, name).drop("_h")
+    order = ["_h", *identity]
+    x, block = staged_blocks(df.withColumn("_h", F.xxhash64(F.lit(seed), *identity)), [*keys, *order])
+    return row_index(x, keys, order, block, name).drop("_h")
 
 
 def stratified_folds(df: DataFrame, k: int = 5, label: str = S.TARGET,

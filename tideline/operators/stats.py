@@ -23,7 +23,7 @@ def long_form(df: DataFrame, features: list[str], target: str = S.TARGET) -> Dat
 
 
 def rank_table(df: DataFrame, features: list[str] | None = None, target: str = S.TARGET,
-               block: Column | None = None) -> DataFrame:
+               parts: int | None = None) -> DataFrame:
     """Per feature and distinct value: rows, positives, and both counts up to the value.
 
     The label is 0/1. Equal values are merged before the shuffle, and the
@@ -33,8 +33,7 @@ def rank_table(df: DataFrame, features: list[str] | None = None, target: str = S
     features = features or numeric_columns(df, target)
     counts = long_form(df, features, target).groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("pos"))
-    if block is None:
-        counts, block = staged_blocks(counts, ["feature", "value"])
+    counts, block = staged_blocks(counts, ["feature", "value"], parts)
     return running(counts.withColumn("neg", F.col("n") - F.col("pos")), ["feature"], ["value"], block,
                    {"cn": (F.col("n"), "sum"), "cp": (F.col("pos"), "sum"), "cg": (F.col("neg"), "sum")},
                    totals=["cn", "cp", "cg"])
