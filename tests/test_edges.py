@@ -35,3 +35,15 @@ def test_latest_wins_once(spark):
     old = spark.createDataFrame([(1, "old"), (2, "old")], "k int, v string")
     new = spark.createDataFrame([(2, "new"), (2, "new")], "k int, v string")
     assert sorted(map(tuple, upsert(old, new, ["k"], "latest_wins", dedupe=True).collect())) == [(1, "old"), (2, "new")]
+
+
+def test_outline_edge_cases(spark):
+    from tideline.operators import geo as G
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.0, 0.5), (3, 5.0, 5.0), (4, None, 0.5)], "id int, lon double, lat double")
+    square = [(0, 10, 0.0, 0.0), (0, 30, 1.0, 0.0), (0, 70, 1.0, 1.0), (0, 71, 0.0, 1.0)]
+    hole = [(1, 1, 0.4, 0.4), (1, 2, 0.6, 0.4), (1, 3, 0.6, 0.6), (1, 4, 0.4, 0.6)]
+    vertices = lambda rows: spark.createDataFrame(rows, "part int, seq int, lon double, lat double")
+    assert [r["id"] for r in G.inside(points, vertices(square)).collect()] == [1]
+    assert G.inside(points, vertices(square + hole)).count() == 0
+    assert G.inside(points, vertices([(0, 1, 0.0, 0.5), (0, 2, 2.0, 0.5)])).count() == 0
+    assert G.inside(points, vertices([])).count() == 0

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.fixed_point import mean
+from tideline.operators.scale import running, staged_blocks
 
-ARRAY_LIMIT = 20_000   # edges that may travel as one array; longer outlines are joined by band
 RELIEF = ["Low Relief", "Moderate Relief", "High Relief"]  # by rising mean elevation
 
 
@@ -34,13 +34,16 @@ def lattice(box: DataFrame, n: int = 50) -> DataFrame:
 
 
 def edges(vertices: DataFrame) -> DataFrame:
-    """Closed rings to edges; vertices are (part, seq, lon, lat)."""
-    ring = Window.partitionBy("part").orderBy("seq")
-    first = F.first(F.struct("lon", "lat")).over(ring.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.coalesce(F.lead(F.struct("lon", "lat")).over(ring), first)
-    return (vertices.withColumn("_n", nxt)
-            .select("part", F.col("lon").alias("x1"), F.col("lat").alias("y1"),
-                    F.col("_n.lon").alias("x2"), F.col("_n.lat").alias("y2"))
+    """Closed rings to edges; vertices are (part, seq, lon, lat), in the order of seq.
+
+    Vertices are numbered over the parts of a range shuffle and joined to the
+    one after them, so a ring need not fit a task.
+    """
+    stored, block = staged_blocks(vertices.select("part", "seq", "lon", "lat"), ["part", "seq"])
+    placed = running(stored, ["part"], ["seq"], block, {"_i": (F.lit(1).cast("bigint"), "sum")}, totals=["_i"])
+    after = placed.select("part", (F.col("_i") - 1).alias("_at"), F.col("lon").alias("x2"), F.col("lat").alias("y2"))
+    return (placed.withColumn("_at", F.col("_i") % F.col("_i_total")).join(after, ["part", "_at"])
+            .select("part", F.col("lon").alias("x1"), F.col("lat").alias("y1"), "x2", "y2")
             .filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))))
 
 
@@ -57,34 +60,28 @@ def _touches(x: Column, y: Column, x1, y1, x2, y2) -> Column:
             & y.between(F.least(y1, y2), F.greatest(y1, y2)))
 
 
-def inside(points: DataFrame, vertices: DataFrame, bands: int = 1024, limit: int = ARRAY_LIMIT) -> DataFrame:
+def inside(points: DataFrame, vertices: DataFrame, bands: int = 1024) -> DataFrame:
     """Points strictly inside the outline (even-odd rule over all rings).
 
-    The bounding box filters first. An outline up to ``limit`` edges is one
-    array next to each point; a longer one is joined to the points by latitude
-    band and counted, so its size never has to fit a task.
+    The bounding box filters first. Points and edges meet by latitude band and
+    crossings are counted, so neither side has to fit a task. An outline
+    without height has no inside.
     """
     lines = edges(vertices)
     box = bounds(vertices)
     part = lambda c: box.select(c).scalar()
     x, y = F.col("lon"), F.col("lat")
     near = points.filter(x.between(part("xmin"), part("xmax")) & y.between(part("ymin"), part("ymax")))
-    if lines.limit(limit + 1).count() <= limit:
-        outline = lines.agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("e")).scalar()
-        z = near.withColumn("_e", outline)
-        hit = F.aggregate("_e", F.lit(0), lambda n, e: n + F.coalesce(
-            _crosses(x, y, e["x1"], e["y1"], e["x2"], e["y2"]).cast("int"), F.lit(0)))
-        on = F.exists("_e", lambda e: _touches(x, y, e["x1"], e["y1"], e["x2"], e["y2"]))
-        return z.filter((hit % 2 == 1) & ~on).drop("_e")
     low, high = part("ymin"), part("ymax")
 
     def band(v):
-        return F.least(F.floor((v - low) / (high - low) * F.lit(bands)), F.lit(bands - 1)).cast("int")
+        place = F.floor(F.try_divide(v - low, high - low) * F.lit(bands))
+        return F.least(place, F.lit(bands - 1)).cast("int")
 
-    spread = lines.withColumn("_b", F.explode(F.sequence(band(F.least("y1", "y2")), band(F.greatest("y1", "y2")))))
-    keyed = near.withColumn("_b", band(y)).withColumn("_id", F.xxhash64("lon", "lat"))
+    lowest, highest = band(F.least("y1", "y2")), band(F.greatest("y1", "y2"))
+    spread = lines.filter(lowest.isNotNull()).withColumn("_b", F.explode(F.sequence(lowest, highest)))
     corner = [F.col(c) for c in ("x1", "y1", "x2", "y2")]
-    per = (keyed.select("_b", "lon", "lat").distinct().join(spread, "_b").groupBy("lon", "lat")
+    per = (near.select("lon", "lat").distinct().withColumn("_b", band(y)).join(spread, "_b").groupBy("lon", "lat")
            .agg(F.count_if(_crosses(x, y, *corner)).alias("_c"), F.max(_touches(x, y, *corner)).alias("_t")))
     good = per.filter((F.col("_c") % 2 == 1) & ~F.col("_t")).select("lon", "lat")
     return near.join(good, ["lon", "lat"], "left_semi")
@@ -122,7 +119,10 @@ def elevation_at(points: DataFrame, pixels: DataFrame, x0: float, y0: float, dx:
 
 
 def relief_classes(points: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """Cluster standardised elevation and name the clusters by rising mean height."""
+    """Cluster standardised elevation and name the clusters by rising mean height.
+
+    Classes beyond the three named ones are called "Relief 4" and so on.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -133,8 +133,10 @@ def relief_classes(points: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     x = flow.fit(points).transform(points).drop("_raw", "_std")
     means = x.groupBy("cluster").agg(F.avg("elevation").alias("_m"))  # k rows
     order = Window.partitionBy(F.lit(0)).orderBy("_m")
-    names = F.array(*[F.lit(n) for n in RELIEF[:k]])
-    named = means.select("cluster", F.element_at(names, F.row_number().over(order)).alias("relief_zone"))
+    place = F.row_number().over(order)
+    names = F.array(*[F.lit(n) for n in RELIEF])
+    named = means.select("cluster", F.coalesce(F.try_element_at(names, place), F.concat(F.lit("Relief "), place))
+                         .alias("relief_zone"))
     return x.join(F.broadcast(named), "cluster").drop("cluster")
 
 

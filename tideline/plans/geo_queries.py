@@ -81,7 +81,7 @@ def _(spark, d):
 
 @geo.add("J13_point_in_long_outline", O.sql(_IN, extra=_SHAPES))
 def _(spark, d):
-    return G.inside(places(spark, d), outline(spark, d), bands=16, limit=3).select("id")
+    return G.inside(places(spark, d), outline(spark, d), bands=16).select("id")
 
 
 _BIL = {
