@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import settings as S
 from tideline.functions.columns import half_up
-from tideline.functions.fixed_point import UNITS, mean, millionths
 from tideline.operators.scale import quantile_columns, running, staged_blocks
 
 TINY = 1e-9
@@ -184,7 +183,7 @@ def classification_report(df: DataFrame, label=S.TARGET, pred="flood_pred") -> D
 
 def brier(df: DataFrame, score="risk_score", label=S.TARGET) -> DataFrame:
     gap = F.col(score) - F.col(label)
-    return df.agg(mean(gap * gap).alias("brier"))
+    return df.agg(F.avg(gap * gap).alias("brier"))
 
 
 # ---- distribution of scores -----------------------------------------------------------
@@ -207,13 +206,13 @@ def reliability(c: DataFrame, bins: int = 10) -> DataFrame:
     x = in_bins(c, bins)
     return x.groupBy("bin").agg(
         F.sum("n").alias("rows"),
-        (F.sum(millionths("threshold") * F.col("n")) / F.lit(UNITS) / F.sum("n")).alias("mean_score"),
+        (F.sum(F.col("threshold") * F.col("n")) / F.sum("n")).alias("mean_score"),
         (F.sum("pos") / F.sum("n")).alias("observed_rate"))
 
 
 def score_percentiles(c: DataFrame, points=None) -> DataFrame:
     points = points or {"p10": 0.10, "p90": 0.90}
-    average = F.sum(millionths("threshold") * F.col("n")) / F.lit(UNITS) / F.sum("n")
+    average = F.sum(F.col("threshold") * F.col("n")) / F.sum("n")
     return c.agg(average.alias("mean_score"), *quantile_columns("cn", "n", "total_n", "threshold", points))
 
 
@@ -236,11 +235,11 @@ def histogram(df: DataFrame, bins: int = 60, score="risk_score", label=S.TARGET)
 def dependence(df: DataFrame, feature: str, bins: int = 10, score="risk_score") -> DataFrame:
     """Mean score per quantile bin of a feature."""
     counts = (df.filter(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("threshold"))
-              .agg(F.count(F.lit(1)).alias("n"), F.sum(millionths(score)).alias("s")))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("s")))
     counts, block = staged_blocks(counts, ["threshold"])
     c = running(counts, [], ["threshold"], block,
                 {"cn": (F.col("n"), "sum")}, totals=["cn"]).withColumnRenamed("cn_total", "total_n")
     x = in_bins(c, bins)
     return x.groupBy("bin").agg(
         F.lit(feature).alias("feature"), F.min("threshold").alias("low"), F.max("threshold").alias("high"),
-        F.sum("n").alias("rows"), (F.sum("s") / F.lit(UNITS) / F.sum("n")).alias("mean_score"))
+        F.sum("n").alias("rows"), (F.sum("s") / F.sum("n")).alias("mean_score"))

@@ -37,12 +37,12 @@ def _(spark, d):
 
 @learn.add("M8_forest_baseline")
 def _(spark, d):
-    return W.baseline_forest(h_gold(spark, d), trees=10, depth=5)["scored"].drop("features")
+    return W.baseline_forest(h_gold(spark, d))["scored"].drop("features")
 
 
 @learn.add("M8_forest_importance")
 def _(spark, d):
-    return W.baseline_forest(h_gold(spark, d), trees=10, depth=5)["importance"]
+    return W.baseline_forest(h_gold(spark, d))["importance"]
 
 
 @learn.add("M9_cross_fitted_calibration")
@@ -133,6 +133,13 @@ def _(spark, d):
     return W.compare_calibration(h_gold(spark, d), folds=2, **SMALL)
 
 
+@learn.add("M8_forest_fold_scores")
+def _(spark, d):
+    scores = W.forest_folds(h_gold(spark, d))
+    return spark.createDataFrame([tuple(r.values()) for r in scores],
+                                 "fold int, auc_roc double, f1 double, precision double, recall double")
+
+
 # ---- draws and neighbours ------------------------------------------------------------------
 _BIG, _FEW = "COUNT(*) FILTER (is_flood = 0)", "COUNT(*) FILTER (is_flood = 1)"
 

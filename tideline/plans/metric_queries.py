@@ -1,11 +1,14 @@
 """Checked queries: splits, folds, curves, thresholds, calibration tables."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tideline.operators import metrics as M, splits as L
 from tideline.plans import oracle as O
 from tideline.plans.registry import Registry
+from tideline.session import cut_lineage
 from tideline.sources import adapters as A
 
 metric = Registry()
@@ -13,6 +16,11 @@ _N = "(SELECT COUNT(*) FROM scored)"
 _IX = {"ix": "SELECT *, row_number() OVER (ORDER BY time_6h, zone) - 1 AS i FROM scored"}
 
 
+def nine(df):
+    """Mean scores to nine digits, as the check SQL rounds them; a plain sum's last digit depends on task order."""
+    return df.withColumn("mean_score", F.round("mean_score", 9))
+
+
 def cut(share):
     return f"(SELECT time_6h FROM ix WHERE i = CAST(floor({_N} * {share}e0) AS BIGINT))"
 
@@ -217,9 +225,9 @@ def _(spark, d):
 
 
 @metric.add("M20_brier", O.sql(
-    f"SELECT {O.mean('(risk_score - is_flood) * (risk_score - is_flood)')} AS brier FROM scored", "scored"))
+    "SELECT round(AVG((risk_score - is_flood) * (risk_score - is_flood)), 12) AS brier FROM scored", "scored"))
 def _(spark, d):
-    return M.brier(A.scored(spark, d))
+    return M.brier(A.scored(spark, d)).select(F.round("brier", 12).alias("brier"))
 
 
 _SORTED = {
@@ -231,18 +239,18 @@ _SORTED = {
 
 
 @metric.add("M21_reliability_curve", O.sql(
-    f"SELECT bin, COUNT(*) AS \"rows\", {O.mean('risk_score')} AS mean_score, CAST(SUM(is_flood) AS DOUBLE) / COUNT(*) AS "
+    f"SELECT bin, COUNT(*) AS \"rows\", round(AVG(risk_score), 9) AS mean_score, CAST(SUM(is_flood) AS DOUBLE) / COUNT(*) AS "
     "observed_rate FROM (SELECT s.*, (SELECT COUNT(*) FROM edge WHERE e < s.risk_score) AS bin FROM scored s) q GROUP BY 1",
     "scored", extra=_SORTED))
 def _(spark, d):
-    return M.reliability(M.curve(A.scored(spark, d)))
+    return nine(M.reliability(M.curve(A.scored(spark, d))))
 
 
 @metric.add("A18_score_percentiles", O.sql(
-    f"SELECT {O.mean('risk_score')} AS mean_score, (SELECT e FROM edge WHERE k = 1) AS p10, "
+    f"SELECT round(AVG(risk_score), 9) AS mean_score, (SELECT e FROM edge WHERE k = 1) AS p10, "
     "(SELECT e FROM edge WHERE k = 9) AS p90 FROM scored", "scored", extra=_SORTED))
 def _(spark, d):
-    return M.score_percentiles(M.curve(A.scored(spark, d)))
+    return nine(M.score_percentiles(M.curve(A.scored(spark, d))))
 
 
 _SPAN = {"w": "SELECT MIN(risk_score) AS a, (MAX(risk_score) - MIN(risk_score)) / 60e0 AS w FROM scored"}
@@ -265,12 +273,24 @@ def _(spark, d):
             .agg(F.sum("n").alias("n")))
 
 
-_RAIN = {k: v.replace("risk_score", "precipitation") for k, v in _SORTED.items()}
+_TOP = ["precipitation", "relative_humidity_2m", "temperature_2m", "wind_speed_10m"]
+
+
+def _dependence_sql(feature, table):
+    edges = ", ".join(f"{k} AS ({v})" for k, v in _SORTED.items()).replace("risk_score", feature).replace("scored", "seen")
+    edges = f"seen AS (SELECT * FROM {table} WHERE {feature} IS NOT NULL), {edges}"
+    return (f"SELECT * FROM (WITH {edges} SELECT bin, '{feature}' AS feature, MIN({feature}) AS low, MAX({feature}) AS high, "
+            f"COUNT(*) AS \"rows\", round(AVG(risk_score), 9) AS mean_score FROM (SELECT s.*, (SELECT COUNT(*) FROM edge "
+            f"WHERE e < s.{feature}) AS bin FROM seen s) q GROUP BY bin) t_{feature}")
+
+
+@metric.add("M32_dependence_table", O.sql(_dependence_sql("precipitation", "scored"), "scored"))
+def _(spark, d):
+    return nine(M.dependence(A.scored(spark, d), "precipitation"))
 
 
-@metric.add("M32_dependence_table", O.sql(
-    "SELECT bin, 'precipitation' AS feature, MIN(precipitation) AS low, MAX(precipitation) AS high, COUNT(*) AS \"rows\", "
-    f"{O.mean('risk_score')} AS mean_score FROM (SELECT s.*, (SELECT COUNT(*) FROM edge WHERE e < s.precipitation) AS bin "
-    "FROM scored s) q GROUP BY bin", "scored", extra=_RAIN))
+@metric.add("M32_dependence_four_features", O.sql(
+    " UNION ALL ".join(_dependence_sql(f, "predictions") for f in _TOP), "predictions"))
 def _(spark, d):
-    return M.dependence(A.scored(spark, d), "precipitation")
+    stored = cut_lineage(A.predictions(spark, d))
+    return nine(reduce(DataFrame.unionByName, [M.dependence(stored, f) for f in _TOP]))
