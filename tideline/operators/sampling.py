@@ -26,6 +26,10 @@ def _repeat(df: DataFrame, times: Column, name: str = "copy") -> DataFrame:
     return x.withColumn(name, F.explode(F.sequence((F.col("_c") * step).cast("int"), last))).drop("_times", "_c")
 
 
+class TooFewMinorityRows(ValueError):
+    """A class has too few rows, or too few near the other class, to draw or synthesise from."""
+
+
 def over_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 42) -> DataFrame:
     """Repeat minority rows until both classes have the same size.
 
@@ -33,7 +37,7 @@ def over_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 4
     """
     many, few, rare = class_sizes(df, label)
     if few == 0:
-        raise ValueError("there is no minority row to repeat")
+        raise TooFewMinorityRows("there is no minority row to repeat")
     small = shuffled(df.filter(F.col(label) == rare), [], list(identity), seed)
     times = F.lit(many // few) + (F.col("draw") < many % few).cast("int")
     return df.filter(F.col(label) == 1 - rare).unionByName(_repeat(small, times).drop("draw", "copy"))
@@ -71,7 +75,7 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     x = _as_text_id(df)
     many, few, rare = class_sizes(x, "label")
     if few < 2:
-        raise ValueError("synthesis needs at least two minority rows")
+        raise TooFewMinorityRows("synthesis needs at least two minority rows")
     minority = x.filter(F.col("label") == rare)
     near = nearest(minority, minority, min(k, few - 1))
     missing = many - few
@@ -88,14 +92,14 @@ def adasyn(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     x = _as_text_id(df)
     many, few, rare = class_sizes(x, "label")
     if few < 2:
-        raise ValueError("synthesis needs at least two minority rows")
+        raise TooFewMinorityRows("synthesis needs at least two minority rows")
     minority = x.filter(F.col("label") == rare)
     around = nearest(minority, x, k).join(
         x.select(F.col("id").alias("neighbour"), F.col("label").alias("_l")), "neighbour")
     share = around.groupBy("id").agg((F.sum(F.when(F.col("_l") != rare, 1).otherwise(0)) / F.lit(k)).alias("_r"))
     whole = share.agg(F.sum("_r")).first()[0]
     if not whole:
-        raise ValueError("no minority row has a majority neighbour")
+        raise TooFewMinorityRows("no minority row has a majority neighbour")
     rows = minority.join(share, "id")
     times = F.rint(F.col("_r") / F.lit(float(whole)) * F.lit(float(many - few))).cast("int")
     near = nearest(minority, minority, min(k, few - 1))

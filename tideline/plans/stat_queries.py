@@ -9,6 +9,7 @@ from tideline.operators import features as X, quality as Q, report as P, stats a
 from tideline.plans import oracle as O
 from tideline.plans.core_queries import h_silver
 from tideline.plans.registry import Registry
+from tideline.session import cut_lineage
 from tideline.sources import adapters as A
 
 stat = Registry()
@@ -52,7 +53,13 @@ _U = {**_RANKED,
             f"no_flood_median, {O.mean('CASE WHEN y = 1 THEN v END')} AS flood_mean, "
             f"{O.mean('CASE WHEN y = 0 THEN v END')} AS no_flood_mean FROM lf GROUP BY 1",
       "u": "SELECT feature, SUM(rx) FILTER (y = 1) - MAX(p) * (MAX(p) + 1) / 2e0 AS mw FROM (SELECT *, SUM(y) OVER "
-           "(PARTITION BY feature) AS p FROM rk) q GROUP BY 1"}
+           "(PARTITION BY feature) AS p FROM rk) q GROUP BY 1",
+      "tie": "SELECT feature, SUM(c * c * c - c) AS ties FROM (SELECT feature, v, CAST(COUNT(*) AS DOUBLE) AS c FROM lf "
+             "GROUP BY 1, 2) q GROUP BY 1",
+      "rt": "SELECT u.feature, mw, CASE WHEN s > 0 THEN (greatest(mw, n1 * n2 - mw) - n1 * n2 / 2 - 0.5e0) / s ELSE 0e0 END "
+            "AS z FROM u JOIN (SELECT c.feature, n1, n2, sqrt(n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - "
+            "1)))) AS s FROM (SELECT feature, CAST(COUNT(*) FILTER (y = 1) AS DOUBLE) AS n1, CAST(COUNT(*) FILTER (y = 0) AS "
+            "DOUBLE) AS n2 FROM lf GROUP BY 1) c JOIN tie ON tie.feature = c.feature) w ON w.feature = u.feature"}
 
 
 @stat.add("T5s_mann_whitney", O.sql(
@@ -71,6 +78,25 @@ def _(spark, d):
     return T.rank_sum_test(T.rank_table(labelled(spark, d), FEATURES))
 
 
+_SURE = 1.959963984540054e0   # two-sided 5 % point of the normal distribution
+
+
+@stat.add("T5s_rank_test_significance", O.sql(
+    f"SELECT feature, round(z, 6) AS z, z > {_SURE} AS significant FROM rt", "h_base", extra=_U))
+def _(spark, d):
+    return T.rank_sum_test(T.rank_table(labelled(spark, d), FEATURES)).select(
+        "feature", F.round("z", 6).alias("z"), "significant")
+
+
+@stat.add("T7s_kept_features", O.sql(
+    f"SELECT feature FROM rt WHERE z > {_SURE} AND feature NOT IN ("
+    + ", ".join(f"'{c}'" for c in S.EXCLUDED_FROM_MODEL) + ")", "h_base", extra=_U))
+def _(spark, d):
+    test = cut_lineage(T.rank_sum_test(T.rank_table(labelled(spark, d), FEATURES)))
+    kept = T.select_features(FEATURES, S.EXCLUDED_FROM_MODEL, test)
+    return test.filter(F.col("feature").isin(kept)).select("feature")
+
+
 @stat.add("A17_group_medians", O.sql(
     "SELECT feature, round(flood_median, 9) AS flood_median, round(no_flood_median, 9) AS no_flood_median, "
     "round(flood_mean, 9) AS flood_mean, round(no_flood_mean, 9) AS no_flood_mean FROM md", "h_base", extra=_U))
@@ -105,10 +131,10 @@ def _(spark, d):
 
 
 @stat.add("K3_sorted_by_rank_test", O.sql(
-    "SELECT feature, mw AS mw_statistic FROM u ORDER BY mw DESC, feature LIMIT 4", "h_base", extra=_U))
+    "SELECT feature, mw AS mw_statistic FROM rt ORDER BY z DESC, feature LIMIT 4", "h_base", extra=_U))
 def _(spark, d):
     return (T.rank_sum_test(T.rank_table(labelled(spark, d), FEATURES))
-            .orderBy(F.col("mw_statistic").desc(), "feature").limit(4).select("feature", "mw_statistic"))
+            .orderBy("p_value", F.col("z").desc(), "feature").limit(4).select("feature", "mw_statistic"))
 
 
 _PAIR = ["temperature_2m", "soil_temperature_0_to_7cm", "relative_humidity_2m", "et0_fao_evapotranspiration"]
@@ -144,8 +170,9 @@ def _(spark, d):
 @stat.add("T7s_feature_selection")
 def _(spark, d):
     ranks = T.rank_table(labelled(spark, d), FEATURES)
-    kept = T.select_features(FEATURES, S.EXCLUDED_FROM_MODEL, T.rank_sum_test(ranks))
-    return T.rank_sum_test(ranks).withColumn("kept", F.col("feature").isin(kept))
+    test = cut_lineage(T.rank_sum_test(ranks))
+    kept = T.select_features(FEATURES, S.EXCLUDED_FROM_MODEL, test)
+    return test.withColumn("kept", F.col("feature").isin(kept))
 
 
 @stat.add("T8s_neg_log10", O.sql(
