@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,12 @@ _HIDDEN = re.compile(
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+@lru_cache(1024)
+def _end_of(name: str) -> re.Pattern:
+    """Lower-casing the page instead would move what follows some letters."""
+    return re.compile("</" + re.escape(name), re.I | re.A)
+
+
 def _no_text(name: str, attributes: str, in_article: int) -> bool:
     if name in ("html", "body", "main") or name in VOID:
         return False
@@ -70,7 +77,6 @@ def lines(page: str) -> list[tuple[str, bool, int]]:
     out: list[tuple[str, bool, int]] = []
     part: list[str] = []
     gap = [("", False, 0)] * WINDOW
-    low = page.lower()
     at = article = link = linked = 0
     skip, depth = "", 0
 
@@ -108,11 +114,11 @@ def lines(page: str) -> list[tuple[str, bool, int]]:
             else:
                 continue
         if not closing and _no_text(name, m[3], article):
-            shut = low.find("</" + name, at)
+            shut = _end_of(m[2]).search(page, at)
             if name in RAW and name != "head":
-                at = len(page) if shut < 0 else max(at, page.find(">", shut) + 1 or len(page))
+                at = len(page) if not shut else max(at, page.find(">", shut.start()) + 1 or len(page))
                 continue
-            elif name == "p" or shut >= 0:
+            elif name == "p" or shut:
                 skip, depth = name, 1
             else:
                 continue
