@@ -2,13 +2,17 @@
 
 Markup is stripped: block elements become lines, inline tags vanish, elements
 that never hold article text (menus, page headers and footers, sidebars,
-notices, adverts, forms, scripts, styles, reader comments) leave blank lines.
-Text lengths are summed over a sliding window of lines. A text begins at a
-surge, where the sum reaches a limit, and ends at a dive, where it falls to
-zero; the lines between are kept whole. Where a page marks its article, lines
-outside count as blank and any text is a surge, so a short article survives;
-elsewhere link text does not count and the limit is ``SURGE`` characters, or
-the page's fullest window if that has less.
+notices, adverts, forms, scripts, styles, reader comments) are left out.
+Text lengths are summed over a sliding window of lines; link text does not
+count. A text begins at a surge, where the sum reaches ``SURGE`` characters, or
+the page's fullest window if that has less, and ends at a dive, where a window
+holds nothing but links; the lines between are kept whole.
+
+A character in a marked article weighs ``ARTICLE`` times as much, so a short
+article survives; text outside is kept where it surges by itself. Each article
+is a text of its own, in which links are text once it has begun, and what is
+outside goes on behind it. A stripped element ends no text, but no window
+reaches across it to begin one.
 
 Defined cases: null, empty and text-less pages give an empty text; a stripped
 element that is never closed is only skipped if its content is no markup
@@ -29,7 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 from tideline.llm.common import per_batch, whole
 
 WINDOW = 3                 # lines
-SURGE = 80                 # characters in a window, where no article is marked
+SURGE = 80                 # characters in a window
+ARTICLE = 8                # weight of a character in a marked article
 
 # Element names of HTML, and words of class, id and role names.
 RAW = frozenset("script style noscript template iframe object svg math textarea select title head".split())
@@ -72,19 +77,24 @@ def _no_text(name: str, attributes: str, in_article: int) -> bool:
     return bool(words & NOT_TEXT) or bool(_HIDDEN.search(attributes))
 
 
-def lines(page: str) -> list[tuple[str, bool, int]]:
-    """(text, inside an article, characters of links) of each line; a stripped element is a gap of blank lines."""
-    out: list[tuple[str, bool, int]] = []
+def lines(page: str) -> list[tuple[str, int, int, bool]]:
+    """(text, article, characters of links, cut) of each line.
+
+    ``article`` numbers the outermost articles from one and is zero outside;
+    ``cut`` marks a line with a stripped element or the border of an article
+    between itself and the line before.
+    """
+    out: list[tuple[str, int, int, bool]] = []
     part: list[str] = []
-    gap = [("", False, 0)] * WINDOW
-    at = article = link = linked = 0
-    skip, depth = "", 0
+    at = article = link = linked = number = 0
+    skip, depth, cut = "", 0, False
 
     def end_line():
-        nonlocal linked
+        nonlocal linked, cut
         text = " ".join(references.unescape("".join(part)).split())
         if text:
-            out.append((text, article > 0, linked))
+            out.append((text, number if article else 0, linked, cut))
+            cut = False
         part.clear()
         linked = 0
 
@@ -123,7 +133,7 @@ def lines(page: str) -> list[tuple[str, bool, int]]:
             else:
                 continue
             end_line()
-            out.extend(gap)
+            cut = True
             continue
         if name == "a":
             link = 0 if closing else 1
@@ -131,7 +141,8 @@ def lines(page: str) -> list[tuple[str, bool, int]]:
             continue
         end_line()
         if name == "article":
-            out.extend(gap)
+            cut = True
+            number += not closing and not article
             article = max(0, article + (-1 if closing else 1))
     if not skip:
         part.append(page[at:])
@@ -139,30 +150,47 @@ def lines(page: str) -> list[tuple[str, bool, int]]:
     return out
 
 
-def surge_to_dive(lengths: np.ndarray, limit: int, window: int = WINDOW) -> np.ndarray:
-    """Mask of the lines between each surge and the dive after it."""
-    keep = np.zeros(len(lengths), bool)
-    if not len(lengths):
-        return keep
+def window_sums(lengths: np.ndarray, cuts: np.ndarray | None = None, window: int = WINDOW) -> np.ndarray:
+    """Sum of each line and those after it in its window, which ends ahead of a line marked in ``cuts``."""
     total = np.concatenate([[0], np.cumsum(lengths)])
     stop = np.minimum(np.arange(len(lengths)) + window, len(lengths))
-    sums = total[stop] - total[:-1]
-    inside, limit = False, min(limit, max(1, sums.max()))
+    if cuts is not None:
+        ends = np.r_[np.flatnonzero(cuts), len(lengths)]
+        stop = np.minimum(stop, ends[np.searchsorted(ends, np.arange(len(lengths)), side="right").clip(max=len(ends) - 1)])
+    return total[stop] - total[:-1]
+
+
+def surge_to_dive(lengths: np.ndarray, sums: np.ndarray, limit: int) -> np.ndarray:
+    """Mask of the lines between each surge of ``sums`` and the dive of ``lengths`` after it."""
+    keep = np.zeros(len(lengths), bool)
+    left = window_sums(lengths)
+    inside = False
     for i in range(len(lengths)):
-        inside = sums[i] > 0 if inside else lengths[i] > 0 and sums[i] >= limit
+        inside = left[i] > 0 if inside else lengths[i] > 0 and sums[i] >= limit
         keep[i] = inside
     return keep
 
 
 def main_text(page: str) -> str:
     found = lines(page)
-    marked = any(inside for text, inside, _ in found if text)
-    if marked:
-        lengths, limit = [len(t) if inside else 0 for t, inside, _ in found], 1
-    else:
-        lengths, limit = [max(0, len(t) - linked) for t, _, linked in found], SURGE
-    keep = surge_to_dive(np.array(lengths, np.int64), limit)
-    return " ".join(t for (t, inside, _), k in zip(found, keep) if k and t and (inside or not marked))
+    if not found:
+        return ""
+    size, article, linked, cuts = (np.array(x) for x in zip(*((len(t), a, n, c) for t, a, n, c in found)))
+    plain = np.maximum(0, size - linked)
+    if not plain.any():
+        plain = np.where(article > 0, size, 0)       # an article of links only
+    lengths = np.where(article > 0, size, plain)
+    # what is outside goes on behind an article, and each article is a text of its own
+    flows = [np.flatnonzero(article == a) for a in np.unique(article)]
+    sums = np.zeros(len(found), np.int64)
+    for rows in flows:
+        cut = cuts[rows] | (np.diff(rows, prepend=rows[0]) > 1)
+        sums[rows] = window_sums(np.where(article > 0, ARTICLE, 1)[rows] * plain[rows], cut)
+    limit = min(SURGE, max(1, sums.max()))
+    keep = np.zeros(len(found), bool)
+    for rows in flows:
+        keep[rows] = surge_to_dive(lengths[rows], sums[rows], limit)
+    return " ".join(t for (t, *_), k in zip(found, keep) if k)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
