@@ -14,8 +14,10 @@ bytes (``seg``).
    Each batch is sorted into an array, merge-scanned against every level of the
    family (a segment seen before is removed whole; a known head with another
    segment is examined), and becomes a level; levels of equal size merge.
-2. Segments to examine bring their bytes, meet again by head, and are compared
-   window by window, which gives the exact ends of matches.
+2. Segments to examine bring their bytes, meet again by a longer string, and
+   are compared window by window, which gives the exact ends of matches. A
+   string that more than ``HOT`` of them share is compared by one row for each
+   window, whose first place is a minimum, so it does not gather in a task.
 3. Spans are joined to the texts.
 
 A passage that a third of the documents share sends one suffix per Arrow batch
@@ -42,6 +44,7 @@ LENGTH = 100
 HEAD = 24
 CHUNK = 1 << 15            # bytes hashed together; small arrays stay in the cache
 BATCH = 1 << 16            # suffixes of a new batch in the family
+HOT = 1024                 # segments of one core that one task compares
 
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S = np.uint64(32)
@@ -321,20 +324,41 @@ def _contexts(docs: DataFrame, examined: DataFrame, length: int) -> DataFrame:
     return per_batch(run, joined, "head long, doc_id long, start long, gap long, run long, context binary")
 
 
+def _windows(x: pd.DataFrame, length: int):
+    """(row, key, hash, doc, start) of every window of the segments ``x``; equal windows have equal key and hash."""
+    texts = x["context"].tolist()
+    sizes = np.array([len(t) for t in texts])
+    h16 = _hash16(np.frombuffer(b"".join(texts), np.uint8))
+    runs = x["run"].to_numpy()
+    row = np.repeat(np.arange(len(x)), runs)
+    inside = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
+    at = (np.cumsum(sizes) - sizes)[row] + inside
+    back = x["gap"].to_numpy()[row] - inside
+    key = _join(x["head"].to_numpy().view(np.uint64)[row], back.astype(np.uint64))
+    return row, key, _strings(h16, at, length), x["doc_id"].to_numpy()[row], x["start"].to_numpy()[row] + inside
+
+
+def _hot_spans(met: DataFrame, length: int) -> DataFrame:
+    """(doc_id, v): one span for each window of ``met`` that came before, by a row for each window.
+
+    The first window of each kind is a minimum, so a frequent one does not gather.
+    """
+    def run(batch):
+        _, key, seg, doc, start = _windows(batch.to_pandas(), length)
+        return pa.RecordBatch.from_arrays([pa.array(_join(key, seg).view(np.int64)), pa.array(doc), pa.array(start)],
+                                          names=["window", "doc_id", "start"])
+
+    each = per_batch(run, met, "window long, doc_id long, start long")
+    first = each.groupBy("window").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    return (each.join(first, "window").filter(F.struct("doc_id", "start") > F.col("first"))
+                .select("doc_id", F.shiftleft("start", 8).bitwiseOR(F.lit(length)).alias("v")))
+
+
 def _compare(length: int):
     def windows(x: pd.DataFrame):
         """Spans of windows that came before, among the segments of some whole heads in document order."""
-        texts = x["context"].tolist()
-        sizes = np.array([len(t) for t in texts])
-        h16 = _hash16(np.frombuffer(b"".join(texts), np.uint8))
-        runs = x["run"].to_numpy()
-        row = np.repeat(np.arange(len(x)), runs)
-        inside = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
-        at = (np.cumsum(sizes) - sizes)[row] + inside
-        back = x["gap"].to_numpy()[row] - inside
-        key = _join(x["head"].to_numpy().view(np.uint64)[row], back.astype(np.uint64))
-        doc, start = x["doc_id"].to_numpy()[row], x["start"].to_numpy()[row] + inside
-        hit = _repeats(key, _strings(h16, at, length), doc, start)
+        row, key, seg, doc, start = _windows(x, length)
+        hit = _repeats(key, seg, doc, start)
         i = np.flatnonzero(hit)
         if not len(i):
             return None
@@ -362,7 +386,7 @@ def _compare(length: int):
     return run
 
 
-def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH, hot_from: int = HOT) -> DataFrame:
     """(doc_id, v): spans to remove, ``v`` = start * 256 + size.
 
     ``texts`` has doc_id and text, ``packed`` the same texts as zstd frames ``z``.
@@ -372,10 +396,14 @@ def repeated_spans(texts: DataFrame, packed: DataFrame, length: int = LENGTH) ->
     dealt = _suffixes(texts, length).repartition("deal")
     scanned = cut_lineage(dealt.sortWithinPartitions("doc_id", "v")
                           .mapInArrow(_scan(length), "doc_id long, v long, kind int"))
-    met = (_contexts(packed, scanned.filter("kind = 1"), length)
-           .repartition("head").sortWithinPartitions("head", "doc_id", "start"))
-    exact = met.mapInArrow(_compare(length), "doc_id long, v long")
-    return scanned.filter("kind = 0").select("doc_id", "v").unionAll(exact)
+    met = cut_lineage(_contexts(packed, scanned.filter("kind = 1"), length))
+    # one row for HOT segments or more, at most a 1,024th of ``met``
+    hot = F.broadcast(cut_lineage(met.groupBy("head").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot_from)
+                                  .select("head")))
+    cold = met.join(hot, "head", "left_anti").repartition("head").sortWithinPartitions("head", "doc_id", "start")
+    return (scanned.filter("kind = 0").select("doc_id", "v")
+            .unionAll(cold.mapInArrow(_compare(length), "doc_id long, v long"))
+            .unionAll(_hot_spans(met.join(hot, "head", "left_semi"), length)))
 
 
 def merged(vs: list[int]) -> list[tuple[int, int]]:
