@@ -72,3 +72,10 @@ def severity(spark, folder):
     from tideline.llm.severity import learn_from, toxicity
     docs = table(spark, folder, "documents")
     return toxicity(docs, learn_from(docs, table(spark, folder, "labels"))).withColumn("held_out", held_out())
+
+
+@llm.add("op11_packed_ids")
+def packed_ids(spark, folder):
+    from tideline.llm.packed_ids import stored_ids
+    from tideline.session import shared_folder
+    return stored_ids(spark, table(spark, folder, "documents"), shared_folder(spark, "packed-ids"))
