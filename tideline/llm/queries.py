@@ -79,3 +79,9 @@ def packed_ids(spark, folder):
     from tideline.llm.packed_ids import stored_ids
     from tideline.session import shared_folder
     return stored_ids(spark, table(spark, folder, "documents"), shared_folder(spark, "packed-ids"))
+
+
+@llm.add("op12_importance_resampling")
+def importance(spark, folder):
+    from tideline.llm.importance import resample
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
