@@ -85,3 +85,10 @@ def packed_ids(spark, folder):
 def importance(spark, folder):
     from tideline.llm.importance import resample
     return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@llm.add("op13_periodic_runs")
+def periodic_runs(spark, folder):
+    from tideline.llm.periodic_runs import digests, periodic_runs, with_planted_runs
+    docs = table(spark, folder, "documents").withColumn("text", with_planted_runs())
+    return digests(periodic_runs(docs))
