@@ -96,14 +96,16 @@ def test_chain_of_links(spark):
 
 def test_decontaminate(spark, odd, none, small):
     docs, items = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "benchmark")
-    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items, part_chars=2000).collect()}
-    whole = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    parts, one = (sorted(map(tuple, decontaminate.contaminated(docs, items, part_chars=n).collect()))
+                  for n in (2000, decontaminate.PART_CHARS))
+    whole = {(r[0], r[1]) for r in one}
 
     def norm(t):
         return " " + " ".join(decontaminate.words(t)) + " "
     texts = [(d, norm(t)) for d, t in docs.select("doc_id", "text").collect()]
     want = {(d, i) for i, b in items.collect() for d, t in texts if norm(b) in t}
-    assert want and want <= whole and want <= got and len(whole - want) <= 2
+    assert want and want <= whole and len(whole - want) <= 2
+    assert [(*r[:2], round(r[2], 9), *r[3:]) for r in parts] == [(*r[:2], round(r[2], 9), *r[3:]) for r in one]
     assert decontaminate.contaminated(odd, items).count() == 0
     assert decontaminate.contaminated(none, items).count() == 0
     assert decontaminate.contaminated(docs, none.selectExpr("doc_id AS item_id", "text")).count() == 0
@@ -162,6 +164,18 @@ def test_pieces_and_packing(spark, odd, none):
     assert packing.pack_documents(none).count() == 0
 
 
+def test_packing_by_all_three_residuals(spark):
+    """Equal token room: the weights, not the tokens alone, choose the sequence, and the document limit binds."""
+    n = np.array([60, 60, 40, 20, 20, 20, 10, 10, 10, 10] * 20)
+    alone = packing.best_fit(n, 100)[0]
+    seq = packing.best_fit(n, 100, documents=4, weights=packing.WEIGHTS)[0]
+    assert np.bincount(alone).max() > 4 and np.bincount(seq).max() <= 4
+    assert np.bincount(seq, weights=n).max() <= 100 and list(seq) != list(alone)
+    docs = spark.range(300).selectExpr("id AS doc_id", "'x' AS text")
+    got = packing.pack_documents(docs).groupBy("sequence_id").count().toPandas()["count"]
+    assert got.sum() == 300 and got.max() == packing.DOCUMENTS
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_limits(rule):
     rng = np.random.default_rng(2)
@@ -190,8 +204,22 @@ def test_shards(spark, odd, none, small, tmp_path):
     assert all((s <= 9000) != o for s, o in zip(got.shard_bytes, got.oversized))
     assert extendible_shards.shard_documents(odd, limit=100).count() == len(ROWS)
     assert extendible_shards.shard_documents(none).count() == 0
-    extendible_shards.write_shards(docs, str(tmp_path / "s"), limit=200_000)
-    assert spark.read.parquet(str(tmp_path / "s")).count() == len(rows)
+    clash = docs.selectExpr("*", "1 AS _d", "2 AS shard_of", "'x' AS depth", "3 AS prefix")
+    extendible_shards.write_shards(clash, str(tmp_path / "s"), limit=200_000)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == len(rows) and {"_d", "shard_of", "depth", "prefix", "shard"} <= set(back.columns)
+
+
+def test_one_large_document_among_many_shards(spark):
+    """Documents of one size fill many shards at one depth; one above the limit lies far deeper."""
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', if(id = 7, 5000, 100)) AS text")
+    got = extendible_shards.shard_documents(docs, limit=1600).collect()
+    deep = {r.doc_id: r.depth for r in got}
+    assert len(got) == 3000 and max(deep.values()) == deep[7] and [r.doc_id for r in got if r.oversized] == [7]
+    sizes = {}
+    for r in got:
+        sizes.setdefault(r.shard, [0, r.shard_bytes])[0] += r.n_bytes
+    assert all(a == b for a, b in sizes.values())
 
 
 def test_repeats(spark, odd, none, small):

@@ -48,3 +48,11 @@ def per_batch(fn: Callable, df: DataFrame, schema: str) -> DataFrame:
 def kept_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     """``df`` with the columns of ``like`` in their order."""
     return df.select(*[F.col(f"`{c}`") for c in like.columns])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -15,7 +15,9 @@ and of the answer (the item's last sentence or line) found in the passage.
 
 The index travels with the tasks. Items are indexed in parts of at most
 ``PART_CHARS`` characters, one pass over the documents for each part, so its
-size is bounded whatever the benchmark's size.
+size is bounded whatever the benchmark's size. Numbers of items, of words and of
+holders of a word, and the length of a passage, are those of all items in every
+part, so results do not depend on the parts.
 
 Defined cases: null and wordless texts match nothing; an item without words
 indexes nothing; items of one sentence have an empty answer, which always
@@ -27,12 +29,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import portions, whole
+from tideline.llm.common import per_batch, portions, whole
+from tideline.session import cut_lineage
 
 THRESHOLD = 0.6            # of the item's own BM25 score
 LIGHT = 0.3                # of it, that an item's words without postings may add up to
@@ -71,23 +75,33 @@ def share(part: list[int], passage: list[int]) -> float:
     return len(want & {tuple(passage[i:i + size]) for i in range(len(passage) - size + 1)}) / len(want)
 
 
+class Statistics(NamedTuple):
+    """Of all items with words: how many, their words, the longest one's words, and the number of holders of a word."""
+    items: int
+    words: int
+    longest: int
+    holders: dict[str, int]
+
+
 class ItemIndex:
     """Impacts of items in compressed rows, their pivot words and block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = THRESHOLD, over: Statistics | None = None):
+        """``over`` describes all items, if these are a part of them."""
         items = sorted(((i, t) for i, t in items if words(t)), key=lambda x: (len(words(x[1])), x[1]))
         self.ids = [i for i, _ in items]
         bags = [Counter(words(t)) for _, t in items]
         self.threshold = threshold
         self.term = {w: k for k, w in enumerate(sorted(set(chain.from_iterable(bags))))}
         self.parts = [tuple([self.term[w] for w in p] for p in question_and_answer(t)) for _, t in items]
-        self.stride = max([STRIDE, *(sum(b.values()) for b in bags)])
-        df = Counter(chain.from_iterable(bags))
-        mean = np.mean([sum(b.values()) for b in bags]) if bags else 1.0
+        sizes = [sum(b.values()) for b in bags]
+        over = over or Statistics(len(bags), sum(sizes), max(sizes, default=0), Counter(chain.from_iterable(bags)))
+        self.stride = max(STRIDE, over.longest)
+        df, mean = over.holders, over.words / max(1, over.items)
         self.impact, self.lighter, posts = [], np.zeros(len(bags)), []
         for i, bag in enumerate(bags):
             long = K1 * (1 - B + B * sum(bag.values()) / mean)
-            w = {self.term[t]: np.log(1 + (len(bags) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + long)
+            w = {self.term[t]: np.log(1 + (over.items - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + long)
                  for t, n in bag.items()}
             own = sum(w.values())
             w = {t: x / own for t, x in w.items()}
@@ -204,17 +218,37 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
                  part_chars: int = PART_CHARS) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, first_word of every verified match."""
     items = items.select(F.col(item_id).cast("long").alias("item_id"), whole(item_text).alias("text"))
-    size = items.agg(F.sum(F.length("text")).alias("n"), F.max(F.length("text")).alias("most")).first()
-    parts = max(1, -(-(size["n"] or 0) // part_chars))
+    parts = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // part_chars))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
     x = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).alias("text"))
+    held = cut_lineage(_words_of(items))
+    every = held.filter("word IS NULL").agg(F.count("n"), F.sum("n"), F.max("n")).first()
+    holders = cut_lineage(held.filter("word IS NOT NULL").groupBy("word")
+                              .agg(F.count(F.lit(1)).alias("n"), F.collect_set("part").alias("parts")))
     found = None
     for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
-        got = _matches(x, ItemIndex([tuple(r) for r in own.collect()], threshold))
+        own = [tuple(r) for r in items.filter(F.col("part") == part).select("item_id", "text").collect()]
+        words_of = holders.filter(F.array_contains("parts", F.lit(part).cast("long"))).select("word", "n").collect()
+        over = Statistics(every[0], every[1] or 0, every[2] or 0, {w: n for w, n in words_of})
+        got = _matches(x, ItemIndex(own, threshold, over))
         found = got if found is None else found.unionAll(got)
     return found
 
 
+def _words_of(items: DataFrame) -> DataFrame:
+    """part, word, n: a row of each distinct word of an item (n = 1) and one of its number of words (no word)."""
+    def run(batch):
+        rows = []
+        for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            bag = words(text)
+            if bag:
+                rows.append((part, None, len(bag)))
+                rows.extend((part, w, 1) for w in set(bag))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(
+            zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.string(), pa.int64()))], names=["part", "word", "n"])
+    return per_batch(run, items.select("part", "text"), "part long, word string, n long")
+
+
 def _matches(docs: DataFrame, index: ItemIndex) -> DataFrame:
     schema = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
               "first_word long")

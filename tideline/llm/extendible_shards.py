@@ -20,7 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.common import whole
+from tideline.llm.common import fresh, whole
 from tideline.session import cut_lineage
 
 LIMIT = 64 << 20
@@ -79,10 +79,12 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = cut_lineage(docs.select(F.col(doc_id).alias("doc_id"), place(doc_id).alias("h"),
                                    F.octet_length(whole(text)).cast("long").alias("bytes")))
     directory = cut_lineage(shard_directory(rows, limit))
-    deepest = directory.agg(F.max("depth").alias("d")).first()["d"] or 0
-    slots = directory.withColumn("slot", F.explode(F.expr(
-        f"sequence(shiftleft(prefix, {deepest} - depth), shiftleft(prefix + 1, {deepest} - depth) - 1)")))
-    return rows.join(slots, _prefix(deepest) == F.col("slot")).select(
+    depths = sorted(r["depth"] for r in directory.select("depth").distinct().collect())      # at most BITS + 1
+    looked = rows.withColumn("_at", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("depth"), _prefix(d).alias("prefix")) for d in depths or [0]])))
+    own = directory.withColumns({"_depth": F.col("depth"), "_prefix": F.col("prefix")}).drop("depth", "prefix")
+    found = looked.join(own, (F.col("_at.depth") == F.col("_depth")) & (F.col("_at.prefix") == F.col("_prefix")))
+    return found.withColumns({"depth": F.col("_depth"), "prefix": F.col("_prefix")}).select(
         "doc_id", F.col("bytes").alias("n_bytes"), F.col("depth").cast("int").alias("depth"), "prefix",
         F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin("prefix"), F.col("depth"), "0")).alias("shard"),
         "shard_bytes", "oversized")
@@ -90,6 +92,7 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = LIMIT) -> None:
     """Whole rows of ``docs`` in one Parquet folder per shard; ``doc_id`` identifies a row."""
-    where = shard_documents(docs, doc_id, text, limit).select(F.col("doc_id").alias("_d"), "shard").distinct()
-    named = docs.join(where, F.col(doc_id).eqNullSafe(F.col("_d")), "left").drop("_d")
-    named.repartition("shard").write.partitionBy("shard").parquet(path)
+    of, shard = fresh(docs, "shard_of"), fresh(docs, "shard")
+    where = shard_documents(docs, doc_id, text, limit).select(F.col("doc_id").alias(of), F.col("shard").alias(shard))
+    named = docs.join(where.distinct(), F.col(doc_id).eqNullSafe(F.col(of)), "left").drop(of)
+    named.repartition(shard).write.partitionBy(shard).parquet(path)

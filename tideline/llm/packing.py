@@ -29,6 +29,8 @@ from tideline.session import cut_lineage
 CAPACITY = 2048
 CLOSING_ID = 0
 GROUP = 8192               # pieces packed together
+DOCUMENTS = 64             # pieces of a sequence, for ``pack``
+WEIGHTS = (1.0, 0.5, 0.5)  # of the tokens, documents and attention cost left, for ``pack``
 
 
 def tokenizer_file() -> str:
@@ -124,13 +126,19 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY, documents: int | Non
     return seq, off
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP, **limits) -> DataFrame:
-    """Add sequence_id and offset to rows of ``pieces``."""
+def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP, documents: int | None = DOCUMENTS,
+         weights: tuple[float, float, float] = WEIGHTS, **limits) -> DataFrame:
+    """Add sequence_id and offset to rows of ``pieces``.
+
+    All three residuals weigh in the choice; a sequence takes ``documents``
+    pieces at most. Attention cost is limited by what one full piece costs, so
+    that limit is there for smaller ones that a caller states.
+    """
     stored = cut_lineage(cut)
     groups = max(1, -(-stored.count() // group))
 
     def run(key: tuple, x: pd.DataFrame) -> pd.DataFrame:
-        seq, off = best_fit(x["length"].to_numpy(), capacity, **limits)
+        seq, off = best_fit(x["length"].to_numpy(), capacity, documents, weights=weights, **limits)
         return x.assign(sequence_id=(int(key[0]) << 32) + seq, offset=off).drop(columns="g")
 
     dealt = stored.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"),

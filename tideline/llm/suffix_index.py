@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tideline.llm.common import per_batch, whole
+from tideline.llm.common import fresh, per_batch, whole
 from tideline.session import cut_lineage
 
 LENGTH = 100
@@ -475,8 +475,9 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Characters of which a cut left only some bytes go as well; null texts stay null.
     """
     x = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole(text).cast("binary").alias("text"))
-    each = (repeated_spans(x, _packed(x), length).groupBy(F.col("doc_id").alias("_repeats_of"))
-            .agg(F.collect_list("v").alias("_repeats")))
+    of, held = fresh(docs, "repeats_of"), fresh(docs, "repeats")
+    each = (repeated_spans(x, _packed(x), length).groupBy(F.col("doc_id").alias(of))
+            .agg(F.collect_list("v").alias(held)))
     at, count = docs.columns.index(text), docs.columns.index(size) if size in docs.columns else None
 
     def run(batch):
@@ -492,5 +493,5 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                                       columns[count].type)
         return pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    joined = docs.join(each, F.col(doc_id).cast("long") == F.col("_repeats_of"), "left").drop("_repeats_of")
+    joined = docs.join(each, F.col(doc_id).cast("long") == F.col(of), "left").drop(of)
     return per_batch(run, joined, docs.schema)
