@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tideline import settings as S
+from tideline.operators.boosting import BoostedTrees, Boosting
 
 
 def encode_zone(df: DataFrame, categories: list[str]) -> DataFrame:
@@ -47,14 +48,12 @@ def weighted(train: DataFrame, label: str = S.TARGET) -> DataFrame:
 
 
 def boosted(rounds: int = S.MODEL_ROUNDS, step: float = S.MODEL_STEP, depth: int = S.MODEL_DEPTH,
-            min_rows: int = S.MODEL_MIN_ROWS, row_share: float = S.MODEL_ROW_SHARE,
-            column_share: str = S.MODEL_COLUMN_SHARE, label: str = S.TARGET, weight: str | None = "weight",
-            seed: int = S.MODEL_SEED):
-    from pyspark.ml.classification import GBTClassifier
-    est = GBTClassifier(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=step, maxDepth=depth,
-                        minInstancesPerNode=min_rows, subsamplingRate=row_share,
-                        featureSubsetStrategy=str(column_share), seed=seed, cacheNodeIds=False)
-    return est.setWeightCol(weight) if weight else est
+            min_rows: float = S.MODEL_MIN_ROWS, row_share: float = S.MODEL_ROW_SHARE,
+            column_share: float | str = S.MODEL_COLUMN_SHARE, label: str = S.TARGET, weight: str | None = "weight",
+            seed: int = S.MODEL_SEED, **more) -> Boosting:
+    """The production learner; ``more`` are further settings of ``Boosting`` (penalties, bins, fit_rows)."""
+    return Boosting(rounds, step, depth, min_rows, row_share, float(column_share), label=label, weight=weight, seed=seed,
+                    **more)
 
 
 def forest(trees: int = 100, depth: int = 10, label: str = S.TARGET, weight: str | None = "weight",
@@ -65,6 +64,9 @@ def forest(trees: int = 100, depth: int = 10, label: str = S.TARGET, weight: str
 
 
 def probability(model, df: DataFrame, out: str = "risk_score") -> DataFrame:
+    """``df`` with the model's probability of label 1: boosted trees or a Spark ML classifier."""
+    if isinstance(model, BoostedTrees):
+        return model.score(df.drop(out), out)
     from pyspark.ml.functions import vector_to_array
     keep = [c for c in df.columns if c != out]
     x = model.transform(df.select(*keep))
@@ -103,33 +105,26 @@ class FoldedModel:
             total = total + F.col(n)
         return df.withColumn(out, total / F.lit(float(len(names)))).drop(*names)
 
-    def save(self, path: str) -> None:
+    def save(self, spark, path: str) -> None:
         for i, (model, iso) in enumerate(self.members):
-            model.write().overwrite().save(f"{path}/member={i}/learner")
+            model.save(spark, f"{path}/member={i}/learner")
             iso.write().overwrite().save(f"{path}/member={i}/isotonic")
 
     @classmethod
-    def load(cls, path: str, members: int) -> "FoldedModel":
-        from pyspark.ml.classification import GBTClassificationModel
+    def load(cls, spark, path: str, members: int) -> "FoldedModel":
         from pyspark.ml.regression import IsotonicRegressionModel
-        return cls([(GBTClassificationModel.load(f"{path}/member={i}/learner"),
+        return cls([(BoostedTrees.load(spark, f"{path}/member={i}/learner"),
                      IsotonicRegressionModel.load(f"{path}/member={i}/isotonic")) for i in range(members)])
 
 
-def cross_fitted(train: DataFrame, learner, k: int = 5, label: str = S.TARGET, workers: int = 2) -> FoldedModel:
-    """Fit on k-1 folds, calibrate on the fold left out, for every fold."""
-    from concurrent.futures import ThreadPoolExecutor
+def cross_fitted(train: DataFrame, learner: Boosting, k: int = 5, label: str = S.TARGET) -> FoldedModel:
+    """Fit on k-1 folds, calibrate on the fold left out, for every fold; the models grow side by side."""
     from tideline.operators.splits import stratified_folds
     from tideline.session import cut_lineage
     folded = cut_lineage(stratified_folds(train, k, label))
-
-    def member(i):
-        model = learner.fit(folded.filter(F.col("fold") != i))
-        held = probability(model, folded.filter(F.col("fold") == i))
-        return model, isotonic(held, label=label)
-
-    with ThreadPoolExecutor(workers) as pool:  # the jobs run on the cluster; threads only submit them
-        return FoldedModel(list(pool.map(member, range(k))))
+    models = learner.fit_members(folded, [F.col("fold") != i for i in range(k)])
+    return FoldedModel([(model, isotonic(probability(model, folded.filter(F.col("fold") == i)), label=label))
+                        for i, model in enumerate(models)])
 
 
 # ---- importance ---------------------------------------------------------------------------

@@ -30,7 +30,7 @@ class Bundle:
     importance: list = field(default_factory=list)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        self.model.save(f"{path}/model")
+        self.model.save(spark, f"{path}/model")
         doc = {"features": self.features, "categories": self.categories, "threshold": self.threshold,
                "members": len(self.model.members), "metrics": self.metrics,
                "importance_top10": [n for n, _ in self.importance[:10]]}
@@ -44,7 +44,7 @@ class Bundle:
         if not Lake(spark, parent).exists(name, "bundle"):
             raise LookupError(f"no model at {path}")
         doc = json.loads(spark.read.text(f"{path}/bundle").first()[0])
-        return cls(L.FoldedModel.load(f"{path}/model", doc["members"]), doc["features"], doc["categories"],
+        return cls(L.FoldedModel.load(spark, f"{path}/model", doc["members"]), doc["features"], doc["categories"],
                    doc["threshold"], doc["metrics"], [(n, None) for n in doc["importance_top10"]])
 
 

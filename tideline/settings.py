@@ -103,6 +103,9 @@ MODEL_DEPTH = 3
 MODEL_MIN_ROWS = 10
 MODEL_ROW_SHARE = 0.502314474212375
 MODEL_COLUMN_SHARE = "0.43903095579116774"
+MODEL_L1 = 6.6928770111304505
+MODEL_L2 = 9.580154309406538
+MODEL_GAMMA = 4.041986740582305
 MODEL_SEED = 42
 
 RECORD_COLUMNS = [  # forecast record, in output order
