@@ -181,7 +181,7 @@ def _(spark, d):
     now = live.agg(F.min("time_6h").alias("n")).scalar()
     x, names, categories = W.prepare(X.gold(past))
     fit, _ = T.chronological_split(x)
-    model = L.boosted(rounds=5).fit(L.weighted(fit))
+    model = L.boosted().fit(L.weighted(fit))
     bundle = W.Bundle(L.FoldedModel([(model, L.isotonic(L.probability(model, fit)))]), names, categories, 0.4)
     scored = W.predict(flows.forecast_features(live, past, A.zones(spark), now), bundle)
     return P.zone_alerts(scored)

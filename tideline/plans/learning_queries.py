@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline import settings as S
-from tideline.operators import features as X, learning as L, metrics as M, neighbours as N, sampling as P, splits as T
+from tideline.operators import attribution as V, features as X, isotonic as I, learning as L, neighbours as N, sampling as P, splits as T
 from tideline.plans import oracle as O, training as W
 from tideline.plans.core_queries import h_silver
 from tideline.plans.registry import Registry
@@ -13,11 +13,24 @@ from tideline.sources import adapters as A
 from tideline.sources.lake import Lake
 
 learn = Registry()
-SMALL = {"rounds": 8, "depth": 3}  # enough trees to exercise the flow
+SEARCH = {"trials": 2, "max_rounds": 100, "max_depth": 4}      # in a query; the library searches 60 wider trials (README)
+PLAIN = ["none", "over_sample", "under_sample"]                # in a query, without the strategies that need neighbours
+_stages: dict = {}
 
 
 def h_gold(spark, d):
-    return cut_lineage(X.gold(h_silver(spark, d)))
+    """The gold table, written once for each session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _stages:
+        _stages[key] = cut_lineage(X.gold(h_silver(spark, d)))
+    return _stages[key]
+
+
+def learned(spark, d):
+    """(production model, fit rows, test rows, feature names, zone categories)."""
+    x, names, categories = W.prepare(h_gold(spark, d))
+    fit, test = T.chronological_split(x)
+    return L.boosted().fit(L.weighted(fit)), fit, test, names, categories
 
 
 def points(spark, d):
@@ -29,9 +42,7 @@ def points(spark, d):
 # ---- learners -------------------------------------------------------------------------
 @learn.add("M7_boosted_trees")
 def _(spark, d):
-    x, _, _ = W.prepare(h_gold(spark, d))
-    fit, test = T.chronological_split(x)
-    model = L.boosted(**SMALL).fit(L.weighted(fit))
+    model, _, test, *_ = learned(spark, d)
     return L.probability(model, test).drop("features")
 
 
@@ -49,7 +60,7 @@ def _(spark, d):
 def _(spark, d):
     x, _, _ = W.prepare(h_gold(spark, d))
     fit, test = T.chronological_split(x)
-    model = L.cross_fitted(L.weighted(fit), L.boosted(**SMALL), k=3)
+    model = L.cross_fitted(L.weighted(fit), L.boosted())
     return model.transform_score(test).drop("features")
 
 
@@ -60,10 +71,30 @@ def _(spark, d):
     return L.calibrated(L.isotonic(held), test.select("zone", "time_6h", "is_flood", "risk_score"))
 
 
+@learn.add("M10_parallel_isotonic")
+def _(spark, d):
+    rows = A.scored(spark, d)
+    return I.fit(rows).select("low", "high", "rate", "weight")
+
+
+@learn.add("M10_isotonic_rates", O.sql(
+    # the rate of a score is the greatest, over starts up to it, of the least mean up to an end behind it
+    "SELECT s.risk_score, round(MAX(m.least), 9) AS rate FROM each s JOIN (SELECT e.risk_score AS till, a.risk_score AS "
+    "since, MIN(e.mean) OVER (PARTITION BY a.risk_score ORDER BY e.risk_score DESC) AS least FROM each a JOIN means e ON "
+    "e.since = a.risk_score) m ON m.since <= s.risk_score AND m.till = s.risk_score GROUP BY 1", "scored", extra={
+        "each": "SELECT round(risk_score, 2) AS risk_score, SUM(is_flood) AS y, COUNT(*) AS w FROM scored GROUP BY 1",
+        "means": "SELECT a.risk_score AS since, b.risk_score, SUM(b.y) OVER up / SUM(b.w) OVER up AS mean FROM each a JOIN "
+                 "each b ON b.risk_score >= a.risk_score WINDOW up AS (PARTITION BY a.risk_score ORDER BY b.risk_score)"}))
+def _(spark, d):
+    rows = A.scored(spark, d).withColumn("risk_score", F.round("risk_score", 2))
+    scores = rows.select("risk_score").distinct()
+    return I.apply(I.fit(rows), scores).select("risk_score", F.round("rate", 9).alias("rate"))
+
+
 @learn.add("C5_train_and_score")
 def _(spark, d):
     gold = h_gold(spark, d)
-    bundle = W.train(gold, folds=2, cv=False, **SMALL)
+    bundle = W.train(gold)
     path = shared_folder(spark, "model")
     bundle.save(spark, path)
     return W.predict(gold, W.Bundle.load(spark, path)).select(*S.PREDICTION_COLUMNS)
@@ -73,21 +104,19 @@ def _(spark, d):
 def _(spark, d):
     gold = h_gold(spark, d)
     lake = Lake(spark, shared_folder(spark, "lake"))
-    return W.store_predictions(lake, gold, W.train(gold, calibrate=False, cv=False, **SMALL))
+    return W.store_predictions(lake, gold, W.train(gold))
 
 
 @learn.add("C14_experiment_pack")
 def _(spark, d):
-    pack = W.optimise(h_gold(spark, d), ["under_sample"], rounds=4, trials=2, k=2, depth=3)
+    pack = W.optimise(h_gold(spark, d), PLAIN[2:], rounds=SEARCH["max_rounds"], trials=1)
     return pack["strategies"].select("strategy", "auc_roc", "auc_pr", "recall").unionByName(
         pack["calibration"].select("strategy", "auc_roc", "auc_pr", "recall"))
 
 
 @learn.add("M11_batch_scoring")
 def _(spark, d):
-    x, names, categories = W.prepare(h_gold(spark, d))
-    fit, _ = T.chronological_split(x)
-    plain = L.boosted(**SMALL).fit(L.weighted(fit))
+    plain, fit, _, names, categories = learned(spark, d)
     bundle = W.Bundle(L.FoldedModel([(plain, L.isotonic(L.probability(plain, fit)))]), names, categories, 0.4)
     return W.predict(X.gold(h_silver(spark, d)), bundle).select(
         "zone", "time_6h", "risk_score", "flood_pred", "risk_level")
@@ -95,42 +124,55 @@ def _(spark, d):
 
 @learn.add("S11_metrics_document")
 def _(spark, d):
-    return W.metrics_document(W.train(h_gold(spark, d), folds=2, cv=False, **SMALL), spark)
+    return W.metrics_document(W.train(h_gold(spark, d)), spark)
 
 
 @learn.add("M22_fold_average_precision")
 def _(spark, d):
     x, _, _ = W.prepare(h_gold(spark, d))
-    scores = W.fold_scores(x, lambda: L.boosted(**SMALL), k=3)
+    scores = W.fold_scores(x, L.boosted)
     return spark.createDataFrame(list(enumerate(scores, 1)), "fold int, auc_pr double")
 
 
 @learn.add("M31_permutation_importance")
 def _(spark, d):
-    x, names, _ = W.prepare(h_gold(spark, d))
-    fit, test = T.chronological_split(x)
-    return L.permutation_importance(L.boosted(**SMALL).fit(L.weighted(fit)), test, names)
+    model, _, test, names, _ = learned(spark, d)
+    return L.permutation_importance(model, test, names)
+
+
+@learn.add("M31_tree_attribution")
+def _(spark, d):
+    model, fit, _, names, _ = learned(spark, d)
+    return V.mean_attribution(V.attributions(model, fit, []), names)
+
+
+@learn.add("M32_attribution_dependence")
+def _(spark, d):
+    model, _, test, names, _ = learned(spark, d)
+    shares = cut_lineage(V.attributions(model, test, ["zone", "time_6h"]))
+    top = [r["feature"] for r in V.mean_attribution(shares, names).limit(4).collect()]
+    return V.dependence(shares, names, top, ["zone", "time_6h"])
 
 
 @learn.add("M29_strategy_comparison")
 def _(spark, d):
-    return W.compare_strategies(h_gold(spark, d), ["none", "over_sample", "under_sample"], **SMALL)
+    return W.compare_strategies(h_gold(spark, d), PLAIN)
 
 
 @learn.add("K7_J12_results_by_recall")
 def _(spark, d):
-    gold, names = h_gold(spark, d), ["over_sample", "under_sample"]
-    return W.results_table(W.compare_strategies(gold, names, **SMALL), W.strategy_cv(gold, names, k=2, **SMALL))
+    gold = h_gold(spark, d)
+    return W.results_table(W.compare_strategies(gold, PLAIN), W.strategy_cv(gold, PLAIN))
 
 
 @learn.add("M30_W7_search")
 def _(spark, d):
-    return W.search(h_gold(spark, d), trials=2, k=2, max_rounds=6, max_depth=3)
+    return W.search(h_gold(spark, d), **SEARCH)
 
 
 @learn.add("M33_U4_calibration_comparison")
 def _(spark, d):
-    return W.compare_calibration(h_gold(spark, d), folds=2, **SMALL)
+    return W.compare_calibration(h_gold(spark, d))
 
 
 @learn.add("M8_forest_fold_scores")

@@ -96,7 +96,7 @@ def _(spark, d):
     gold = X.gold(h_silver(spark, d))
     x, names, categories = W.prepare(gold)
     fit, _ = T.chronological_split(x)
-    model = L.boosted(rounds=5).fit(L.weighted(fit))
+    model = L.boosted().fit(L.weighted(fit))
     bundle = W.Bundle(L.FoldedModel([(model, L.isotonic(L.probability(model, fit)))]), names, categories, 0.4)
     out = shared_folder(spark, "alerts")
     G.score_stream(landed(spark, gold), bundle, out, shared_folder(spark, "progress")).awaitTermination()

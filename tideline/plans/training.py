@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tideline import settings as S
 from tideline.functions import columns as C
 from tideline.functions.columns import half_up
-from tideline.operators import learning as L, metrics as M, sampling as P, splits as T
+from tideline.operators import attribution as V, learning as L, metrics as M, sampling as P, splits as T
 from tideline.session import cut_lineage
 
 KEYS = ["zone", "time_6h"]
@@ -109,7 +109,7 @@ def train(gold: DataFrame, rounds: int = S.MODEL_ROUNDS, folds: int = 5, calibra
         metrics["cv_auc_pr_mean"], metrics["cv_auc_pr_std"] = r["mean"], r["std"]
     first = model.members[0][0]
     ranked = [(r["feature"], r["importance"])
-              for r in L.permutation_importance(first, test, names).collect()]  # one row per feature
+              for r in V.mean_attribution(V.attributions(first, fit, []), names).collect()]  # one row per feature
     return Bundle(model, names, categories, best["threshold"], metrics, ranked)
 
 
