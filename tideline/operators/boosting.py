@@ -34,7 +34,7 @@ from tideline import settings as S
 from tideline.session import cut_lineage
 
 EVERY = 64
-FIT_ROWS = 200_000         # labelled rows a model is fitted on, about; None: all rows, a job for each level
+FIT_ROWS = 100_000         # labelled rows a model is fitted on, about; None: all rows, a job for each level
 MIN_GAIN = 1e-6
 MAX_MEMBERS = 62           # models that grow side by side; a row's models are bits of a long
 
