@@ -13,7 +13,7 @@ from tideline.sources import adapters as A
 from tideline.sources.lake import Lake
 
 learn = Registry()
-SEARCH = {"trials": 2, "max_rounds": 100, "max_depth": 4}      # in a query; the library searches 60 wider trials (README)
+SEARCH = {"trials": 6, "start": 2, "max_rounds": 100, "max_depth": 4}      # in a query; the library searches 60 wider trials (README)
 PLAIN = ["none", "over_sample", "under_sample"]                # in a query, without the strategies that need neighbours
 _stages: dict = {}
 
@@ -111,7 +111,8 @@ def _(spark, d):
 def _(spark, d):
     pack = W.optimise(h_gold(spark, d), PLAIN[2:], rounds=SEARCH["max_rounds"], trials=1)
     return pack["strategies"].select("strategy", "auc_roc", "auc_pr", "recall").unionByName(
-        pack["calibration"].select("strategy", "auc_roc", "auc_pr", "recall"))
+        pack["calibration"].select("strategy", "auc_roc", "auc_pr", "recall")).unionByName(
+        pack["tuned"].select("strategy", "auc_roc", "auc_pr", "recall"))
 
 
 @learn.add("M11_batch_scoring")
@@ -170,6 +171,12 @@ def _(spark, d):
     return W.search(h_gold(spark, d), **SEARCH)
 
 
+@learn.add("U4_tuned_against_base")
+def _(spark, d):
+    gold = h_gold(spark, d)
+    return W.compare_tuned(gold, W.best_settings(W.search(gold, **SEARCH)))
+
+
 @learn.add("M33_U4_calibration_comparison")
 def _(spark, d):
     return W.compare_calibration(h_gold(spark, d))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tideline import settings as S
 from tideline.functions import columns as C
 from tideline.functions.columns import half_up
-from tideline.operators import attribution as V, learning as L, metrics as M, sampling as P, splits as T
+from tideline.operators import attribution as V, guided as G, learning as L, metrics as M, sampling as P, splits as T
 from tideline.session import cut_lineage
 
 KEYS = ["zone", "time_6h"]
@@ -252,13 +252,18 @@ def results_table(strategies: DataFrame, cv: DataFrame) -> DataFrame:
 
 
 # ---- search --------------------------------------------------------------------------------
+def search_space(max_rounds: int = 900, max_depth: int = 10) -> dict[str, G.Range]:
+    """The searched settings of the learner."""
+    return {"rounds": G.Range("int", min(100, max_rounds), max_rounds), "step": G.Range("log", 0.005, 0.3),
+            "depth": G.Range("int", min(3, max_depth), max_depth), "min_rows": G.Range("int", 1, 15),
+            "row_share": G.Range("float", 0.4, 1.0), "column_share": G.Range("float", 0.4, 1.0),
+            "l1": G.Range("log", 1e-8, 20.0), "l2": G.Range("log", 1e-8, 20.0), "gamma": G.Range("float", 0.0, 5.0)}
+
+
 def draw_settings(trials: int, seed: int = 42, max_rounds: int = 900) -> list[dict]:
-    """Seeded draws from the searched ranges (log scale for the step)."""
+    """Seeded plain draws from the searched ranges."""
     rnd = random.Random(seed)
-    return [{"rounds": rnd.randint(min(100, max_rounds), max_rounds),
-             "step": math.exp(rnd.uniform(math.log(0.005), math.log(0.3))), "depth": rnd.randint(3, 10),
-             "min_rows": rnd.randint(1, 15), "row_share": rnd.uniform(0.4, 1.0),
-             "column_share": str(rnd.uniform(0.4, 1.0))} for _ in range(trials)]
+    return [{name: r.value(rnd.random()) for name, r in search_space(max_rounds).items()} for _ in range(trials)]
 
 
 def best_fold_f2(scored: DataFrame) -> float:
@@ -270,28 +275,49 @@ def best_fold_f2(scored: DataFrame) -> float:
 
 
 def search(gold: DataFrame, trials: int = 60, k: int = 5, seed: int = 42, workers: int = 2,
-           max_rounds: int = 900, max_depth: int = 10) -> DataFrame:
-    """Trials with their mean fold F2 and the best value so far.
+           max_rounds: int = 900, max_depth: int = 10, start: int = 10, folder: str | None = None) -> DataFrame:
+    """Guided trials with their mean fold F2 and the best value so far.
 
-    Every trial over-samples the training part of each fold. Trials are
-    submitted side by side; Spark shares the cluster between them.
+    Every trial over-samples the training part of each fold. Trials and folds are submitted side by side; Spark shares
+    the cluster between them. With a ``folder`` a search that was stopped goes on after its finished trials.
     """
     x, _, _ = prepare(gold)
     train_rows, _ = T.chronological_split(x)
     train_rows = cut_lineage(train_rows)
-    tried = draw_settings(trials, seed, max_rounds)
 
-    def run(item):
-        number, p = item
-        p = {**p, "depth": min(p["depth"], max_depth)}
-        scores = fold_scores(train_rows, lambda: L.boosted(**p, weight=None), k, resample=P.over_sample,
-                             score=best_fold_f2, workers=1)
+    def run(settings: dict) -> float:
+        scores = fold_scores(train_rows, lambda: L.boosted(**settings, weight=None), k, resample=P.over_sample,
+                             score=best_fold_f2)
         seen = [s for s in scores if s is not None]
-        return (number, sum(seen) / len(seen) if seen else 0.0, json.dumps(p))
+        return sum(seen) / len(seen) if seen else 0.0
 
-    with ThreadPoolExecutor(workers) as pool:
-        rows = list(pool.map(run, enumerate(tried, 1)))
-    return best_so_far(gold.sparkSession.createDataFrame(rows, "trial int, f2 double, settings string"))
+    tried = G.guided_search(gold.sparkSession, search_space(max_rounds, max_depth), run, trials, seed, workers, start, folder)
+    return best_so_far(tried.withColumnRenamed("value", "f2"))
+
+
+def best_settings(trials: DataFrame) -> dict | None:
+    """Settings of the best trial, the earliest of equals; None without a trial."""
+    row = trials.orderBy(F.col("f2").desc_nulls_last(), "trial").first()
+    return None if row is None else json.loads(row["settings"])
+
+
+def compare_tuned(gold: DataFrame, settings: dict, rounds: int = 500, **learner) -> DataFrame:
+    """Base and searched settings on the same over-sampled fit rows, and their difference.
+
+    Thresholds are tuned on the validation rows, all scores are those of the test rows.
+    """
+    x, _, _ = prepare(gold)
+    train_rows, test = T.chronological_split(x)
+    parts = cut_lineage(T.fit_validation(cut_lineage(train_rows)))
+    rows = cut_lineage(P.over_sample(parts.filter(F.col("segment") == 0).drop("segment")))
+    val = parts.filter(F.col("segment") == 1)
+    out = None
+    for name, chosen in (("base", {"rounds": rounds, **learner}), ("tuned", settings)):
+        model = L.boosted(**chosen, weight=None).fit(rows)
+        best = M.best_threshold(M.curve(L.probability(model, val)), floor=0.05).first()
+        row = evaluate(cut_lineage(L.probability(model, test).drop("features")), best["threshold"], name)
+        out = row if out is None else out.unionByName(row)
+    return M.with_delta(out, "strategy", "tuned", "base", "tuned - base")
 
 
 def best_so_far(trials: DataFrame) -> DataFrame:
@@ -329,10 +355,15 @@ def compare_calibration(gold: DataFrame, rounds: int = 500, folds: int = 5, **le
 
 def optimise(gold: DataFrame, strategies: list[str] | None = None, rounds: int = 500, trials: int = 60, k: int = 5,
              **learner) -> dict[str, DataFrame]:
-    """The experiment pack: balancing strategies with folds, search, calibration."""
-    return {
+    """The experiment pack: balancing strategies with folds, search, the tuned model against the base, calibration."""
+    found = cut_lineage(search(gold, trials, k, max_rounds=max(rounds, 2)))
+    pack = {
         "strategies": results_table(compare_strategies(gold, strategies, rounds, **learner),
                                     strategy_cv(gold, strategies, rounds, k, **learner)),
-        "search": search(gold, trials, k, max_rounds=max(rounds, 2)),
+        "search": found,
         "calibration": compare_calibration(gold, rounds, k, **learner),
     }
+    best = best_settings(found)
+    if best is not None:
+        pack["tuned"] = compare_tuned(gold, best, rounds, **learner)
+    return pack
