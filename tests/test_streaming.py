@@ -86,3 +86,45 @@ def test_slot_cache_rebuilds_with_a_new_slot(spark, slots):
     assert [cache.get(at(h), build).first()["v"] for h in (0, 5, 6, 11, 12)] == [1.0, 1.0, 2.0, 2.0, 3.0]
     with pytest.raises(LookupError):
         cache.lake.read("cache", "nothing")
+
+
+def test_late_rows_go_to_the_side_and_no_row_is_lost(spark):
+    """Thirty files out of order, inside and beyond the lateness, against a plain loop over the files."""
+    import random
+    rnd, path = random.Random(7), shared_folder(spark, "feed")
+    rows = [("AB"[i % 2], DAY + dt.timedelta(hours=rnd.randrange(300)), rnd.choice([0.5, 1e-6, None, float("nan")]))
+            for i in range(600)]
+    came = sorted(rows, key=lambda r: r[1] + dt.timedelta(hours=rnd.choice([0, 3, 9, 60])))
+    files = [came[i * 20:(i + 1) * 20] for i in range(30)]
+    files[4].append(("A", None, 1.0))
+    files[5].append((None, DAY, 1.0))
+    schema = "zone string, time timestamp_ntz, precipitation double"
+    for f in files:
+        spark.createDataFrame(f, schema).coalesce(1).write.mode("append").parquet(path)
+    with G.rocksdb_state(spark):
+        feed = G.file_stream(spark, path, spark.read.parquet(path).schema, files=1)
+        got = sorted(tuple(r) for r in G.run_to_table(G.slots_and_late_rows(feed, 12), "append").collect())
+    rain = lambda v: 0.0 if v is None or v != v else v
+    late, slots, clock = [], {}, None
+    for f in files:
+        f = [r for r in f if r[0] and r[1]]
+        for z, t, v in f:
+            start = t - dt.timedelta(hours=t.hour % 6)
+            if clock is not None and start + dt.timedelta(hours=18) <= clock:
+                late.append(("late", z, t, 1, rain(v)))
+            else:
+                n, s = slots.get((z, start), (0, 0.0))
+                slots[z, start] = (n + 1, round(s + rain(v), 6))
+        clock = max([t for _, t, _ in f] + ([clock] if clock else []))
+    closed = [("slot", z, t, n, s) for (z, t), (n, s) in slots.items() if t + dt.timedelta(hours=18) <= clock]
+    assert late and got == sorted(late + closed)
+    still_open = sum(n for (z, t), (n, _) in slots.items() if t + dt.timedelta(hours=18) > clock)
+    assert sum(r[3] for r in got) + still_open == 600
+
+
+def test_late_rows_of_an_empty_feed(spark):
+    path = shared_folder(spark, "feed")
+    spark.createDataFrame([], "zone string, time timestamp_ntz, precipitation double").write.parquet(path)
+    with G.rocksdb_state(spark):
+        feed = G.file_stream(spark, path, spark.read.parquet(path).schema)
+        assert G.run_to_table(G.slots_and_late_rows(feed), "append").count() == 0

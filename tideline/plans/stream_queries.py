@@ -23,17 +23,26 @@ def hourly(spark, d):
     return A.readings_from_events(G.file_stream(spark, d, schema, glob="events.parquet"))
 
 
-def landed(spark, df, time="time_6h", parts=3):
-    """Land ``df`` as one file per part of its time range, in time order."""
+def in_order(spark, df, part, n):
+    """Land ``df`` in one pass as a file for each value of ``part`` (from 0), and stream a file at a time in that order."""
     path = shared_folder(spark, "feed")
-    span = df.agg(F.min(F.to_date(time)).alias("a"), F.datediff(F.max(F.to_date(time)), F.min(F.to_date(time))).alias("n")).first()
-    days = F.datediff(F.to_date(time), F.lit(span["a"]))
-    step = span["n"] // parts + 1
-    for i in range(parts):
-        df.filter(F.floor(days / step) == i).coalesce(1).write.mode("append").parquet(path)
+    df.withColumn("_part", part).repartition(n, "_part").write.partitionBy("_part").parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_part=*/*.parquet")
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.globStatus(where) or []:     # a file source takes files by their time
+        number = int(f.getPath().getParent().getName().split("=")[1])
+        fs.setTimes(f.getPath(), 1_000_000_000_000 + 1000 * number, -1)
     return G.file_stream(spark, path, df.schema, files=1)
 
 
+def landed(spark, df, time="time_6h", parts=3):
+    """Land ``df`` as one file per part of its time range, in time order."""
+    day = F.to_date(time)
+    span = df.agg(F.min(day).alias("a"), F.datediff(F.max(day), F.min(day)).alias("n")).first()
+    days = F.datediff(day, F.lit(span["a"]))
+    return in_order(spark, df.filter(F.col(time).isNotNull()), F.floor(days / ((span["n"] or 0) // parts + 1)).cast("int"), parts)
+
+
 @stream.add("X1_stream_resample", O.sql("SELECT * FROM slots", "slots"))
 def _(spark, d):
     return G.run_to_table(G.resample_stream(hourly(spark, d)), "update", ["zone", "time_6h"])
@@ -66,6 +75,33 @@ def _(spark, d):
     return G.run_to_table(G.first_per_slot(rows, "time"), "append")
 
 
+# a reading comes up to ten hours late, every 23rd hour 150 hours more; a file holds what came in sixty hours
+_HOURS = "CAST(epoch(time) AS BIGINT) // 3600"
+_ARRIVED = (f"SELECT zone, time, precipitation, ({_HOURS} + ({_HOURS} * 7) % 11 + CASE WHEN {_HOURS} % 23 = 0 THEN 150 "
+            "ELSE 0 END) // 60 AS part FROM weather WHERE time IS NOT NULL")
+_CLOCKED = ("SELECT a.*, c.clock, time_bucket(INTERVAL '6 hours', a.time) AS slot, time_bucket(INTERVAL '6 hours', a.time) + "
+            "INTERVAL '18 hours' AS due FROM arrived a JOIN (SELECT part, MAX(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED "
+            "PRECEDING AND 1 PRECEDING) AS clock FROM (SELECT part, MAX(time) AS newest FROM arrived GROUP BY 1) p) c ON "
+            "c.part = a.part")
+
+
+@stream.add("X4_stream_late_rows", O.sql(
+    f"SELECT 'late' AS kind, zone, time, 1::BIGINT AS readings, coalesce({O.units('precipitation')}, 0) / 1e6 AS "
+    "precipitation FROM clocked WHERE due <= clock UNION ALL SELECT 'slot', zone, slot, COUNT(*), "
+    f"SUM(coalesce({O.units('precipitation')}, 0))::BIGINT / 1e6 FROM clocked WHERE clock IS NULL OR due > clock GROUP BY zone, slot, "
+    "due HAVING due <= (SELECT MAX(time) FROM arrived)", "weather", extra={"arrived": _ARRIVED, "clocked": _CLOCKED}))
+def _(spark, d):
+    rows = A.weather_hourly(spark, d).select("zone", "time", "precipitation")
+    hour = F.floor(F.unix_seconds(F.col("time").cast("timestamp")) / 3600)
+    part = F.floor((hour + F.pmod(hour * 7, F.lit(11)) + F.when(F.pmod(hour, F.lit(23)) == 0, 150).otherwise(0)) / 60)
+    rows = rows.filter(F.col("time").isNotNull()).withColumn("_p", part)
+    ends = rows.agg(F.min("_p").alias("a"), F.max("_p").alias("z")).first()
+    first, last = ends["a"] or 0, ends["z"] or 0
+    feed = in_order(spark, rows, (F.col("_p") - first).cast("int"), int(last - first) + 1)
+    with G.rocksdb_state(spark):
+        return G.run_to_table(G.slots_and_late_rows(feed.drop("_p")), "append")
+
+
 @stream.add("X5_stream_stateful_lags", O.sql("SELECT " + ", ".join(LAGS) + " FROM h_framed", "h_framed"))
 def _(spark, d):
     base = X.base(h_silver(spark, d)).select("zone", "time_6h", *G._SIGNALS)

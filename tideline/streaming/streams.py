@@ -1,13 +1,16 @@
 """Structured Streaming forms of the batch operators."""
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tideline import settings as S
 from tideline.functions.columns import as_event_time, from_event_time
-from tideline.functions.fixed_point import UNITS, mean, total
+from tideline.functions.fixed_point import UNITS, mean, millionths, total
 from tideline.session import shared_folder
 
 LATENESS = "12 hours"
@@ -121,6 +124,82 @@ def stateful_lags(slots: DataFrame) -> DataFrame:
         _lag_step, LAG_SCHEMA, _STATE, "append", "NoTimeout")
 
 
+# ---- late rows ------------------------------------------------------------------------------
+HOLD_MS = 3650 * 86_400_000       # Spark's own watermark trails this far behind the newest row, so that it drops nothing
+CLOSED_SCHEMA = "kind string, zone string, at long, readings long, rain long"
+
+
+class ClosedSlots(StatefulProcessor):
+    """Open slots of a zone as map state, a timer for each: fired when the newest row is past end and lateness."""
+
+    def __init__(self, slot_ms: int, lateness_ms: int):
+        self.slot_ms, self.lateness_ms = slot_ms, lateness_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "slot long", "readings long, rain long")
+
+    def _due(self, slot):
+        return slot + self.slot_ms + self.lateness_ms - HOLD_MS
+
+    def handleInputRows(self, key, rows, timerValues):
+        clock = timerValues.getCurrentWatermarkInMs()      # newest row of earlier micro-batches, less HOLD_MS
+        for x in rows:
+            late = self._due(x["slot"]) <= clock
+            if late.any():
+                y = x[late]
+                yield pd.DataFrame({"kind": "late", "zone": key[0], "at": y["at"], "readings": 1, "rain": y["rain"]})
+            sums = x[~late].groupby("slot")["rain"].agg(["size", "sum"])
+            for slot, n, rain in zip(sums.index.tolist(), sums["size"].tolist(), sums["sum"].tolist()):
+                if self.open.containsKey((slot,)):
+                    seen = self.open.getValue((slot,))
+                    n, rain = n + seen[0], rain + seen[1]
+                else:
+                    self.handle.registerTimer(self._due(slot))
+                self.open.updateValue((slot,), (n, rain))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        slot = expiredTimerInfo.getExpiryTimeInMs() + HOLD_MS - self.lateness_ms - self.slot_ms
+        n, rain = self.open.getValue((slot,))
+        self.open.removeKey((slot,))
+        yield pd.DataFrame({"kind": ["slot"], "zone": [key[0]], "at": [slot], "readings": [n], "rain": [rain]})
+
+    def close(self) -> None:
+        pass
+
+
+def slots_and_late_rows(hourly: DataFrame, lateness_hours: int = BUFFER, hours: int = S.SLOT_HOURS) -> DataFrame:
+    """Closed slots (``kind`` slot: start, readings, rain) and each row that came after its slot closed (``kind`` late).
+
+    A slot closes once the newest row of earlier micro-batches, of any zone, is ``lateness_hours`` or more past its end;
+    its state goes with it. No row is lost: every row is in one closed slot, in one still open, or is a late row. Rows
+    without time or zone have no slot and are left out; rain that is null or no number counts as none. Needs the RocksDB
+    state store (``rocksdb_state``) and times after 1980.
+    """
+    hour = 3_600_000
+    x = hourly.select("zone", as_event_time("time").alias("_at"), "precipitation").filter(
+        F.col("zone").isNotNull() & F.col("_at").isNotNull()).withWatermark("_at", f"{HOLD_MS // 86_400_000} days")
+    at = F.unix_millis("_at")
+    x = x.select("zone", "_at", at.alias("at"), (at - F.pmod(at, F.lit(hours * hour))).alias("slot"),
+                 F.coalesce(millionths("precipitation"), F.lit(0)).cast("long").alias("rain"))
+    out = x.groupBy("zone").transformWithStateInPandas(
+        ClosedSlots(hours * hour, lateness_hours * hour), CLOSED_SCHEMA, "Append", "EventTime")
+    return out.select("kind", "zone", from_event_time(F.timestamp_millis("at")).alias("time"), "readings",
+                      (F.col("rain").cast("double") / F.lit(UNITS)).alias("precipitation"))
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; the session's setting is put back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # ---- sinks ---------------------------------------------------------------------------------
 def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None, checkpoint: str | None = None) -> DataFrame:
     """Run what is available into a shared folder and read the table back.
