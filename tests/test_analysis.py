@@ -214,3 +214,24 @@ def test_archive_and_board_flows(spark, slots):
     board = flows.city_board(x, 1)
     assert board["status"].first()["label"] == "FLOOD ALERT" and board["districts"].count() == 9
     assert board["next_alert"].first()["percent"] == 70 and board["ticks"].count() == 1
+
+
+def test_kernel_density_equals_the_direct_sum(spark):
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    values = {0: rnd.normal(0, 1, 300), 1: np.concatenate([rnd.normal(5, 0.2, 80), [40.0]]), 2: np.array([7.0, 7.0]),
+              3: np.array([1.0, 2.0])}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [(0, None), (0, float("nan")), (None, 1.0)]
+    df = spark.createDataFrame(rows, "is_flood int, risk_score double")
+    got = M.kernel_density(df, points=60).orderBy("is_flood", "point").collect()
+    assert [r["is_flood"] for r in got] == [0] * 60 + [1] * 60 + [3] * 60        # one value alone has no density
+    for k in (0, 1, 3):
+        v = values[k]
+        h = v.std(ddof=1) * len(v) ** -0.2
+        at = np.linspace(v.min() - 3 * h, v.max() + 3 * h, 60)
+        direct = np.exp(-(((at[:, None] - v) / h) ** 2) / 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+        mine = [r for r in got if r["is_flood"] == k]
+        assert np.allclose([r["place"] for r in mine], at) and np.allclose([r["density"] for r in mine], direct, atol=1e-11)
+    assert M.kernel_density(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        M.kernel_density(df, points=1)

@@ -273,6 +273,21 @@ def _(spark, d):
             .agg(F.sum("n").alias("n")))
 
 
+_SCOTT = {
+    "shape": "SELECT is_flood, COUNT(*) AS n, MIN(risk_score) AS a, MAX(risk_score) AS z, stddev_samp(risk_score) * "
+             "pow(COUNT(*), -0.2e0) AS h FROM scored GROUP BY 1 HAVING MIN(risk_score) < MAX(risk_score)",
+    "spot": "SELECT s.*, CAST(p AS INT) AS point, a - 3 * h + (z - a + 6 * h) / 199 * p AS place FROM shape s, range(200) r(p)"}
+
+
+@metric.add("T9s_kernel_density", O.sql(
+    "SELECT p.is_flood, p.point, round(p.place, 7) AS place, round(SUM(exp(-pow((p.place - s.risk_score) / h, 2) / 2)) / "
+    "(any_value(n) * any_value(h) * sqrt(2 * pi())), 7) AS density FROM spot p JOIN scored s ON s.is_flood = p.is_flood "
+    "GROUP BY p.is_flood, p.point, p.place", "scored", extra=_SCOTT))
+def _(spark, d):
+    return M.kernel_density(A.scored(spark, d)).select(
+        "is_flood", "point", *[F.round(c, 7).alias(c) for c in ("place", "density")])
+
+
 _TOP = ["precipitation", "relative_humidity_2m", "temperature_2m", "wind_speed_10m"]
 
 
