@@ -96,6 +96,50 @@ def test_tables_exist_list_replace_purge(spark, lake, slots):
     assert lake.purge("gold", enabled=True) is True and not lake.exists("gold", "t")
 
 
+def test_a_failed_replace_leaves_the_old_rows(spark, lake, slots):
+    lake.replace(slots([("A", 0, 1.0), ("B", 0, 2.0)], ["v"]), "gold", "t", ["zone"])
+    bad = slots([("A", n, float(n)) for n in range(50)], ["v"]).repartition(8, "time_6h").withColumn(
+        "v", F.when(F.col("v") == 49, F.raise_error("lost").cast("double")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        lake.replace(bad, "gold", "t", ["zone"])
+    assert sorted(r["v"] for r in lake.read("gold", "t").collect()) == [1.0, 2.0] and lake.tables("gold") == ["t"]
+
+
+def test_a_switch_cut_short_is_undone(spark, lake, slots):
+    import os
+    lake.replace(slots([("A", 0, 1.0)], ["v"]), "gold", "t")
+    at = lake.path("gold", "t")
+    os.rename(at, lake._aside("gold", "t", "old"))          # lost between the two renames
+    assert lake.exists("gold", "t") and lake.read("gold", "t").first()["v"] == 1.0
+    # a table may be replaced by rows that are read from it
+    lake.replace(lake.read("gold", "t").withColumn("v", F.col("v") + 1), "gold", "t")
+    assert lake.read("gold", "t").first()["v"] == 2.0 and lake.tables("gold") == ["t"]
+
+
+def test_catalog_switch_keeps_readers_and_survives_a_failed_write(spark, slots, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS switched LOCATION '{tmp_path}/switched'")
+    try:
+        lk.add_catalog_table(slots([("01", 0, 1.0)], ["v"]), "switched.t", ["zone"])
+        begun = spark.table("switched.t")
+        bad = slots([("01", 0, 2.0)], ["v"]).withColumn("v", F.raise_error("lost").cast("double"))
+        with pytest.raises(Exception, match="lost"):
+            lk.add_catalog_table(bad, "switched.t", ["zone"])
+        assert spark.table("switched.t").first()["v"] == 1.0
+        lk.add_catalog_table(slots([("A", 0, 2.0)], ["v"]), "switched.t")
+        assert begun.first()["v"] == 1.0 and spark.table("switched.t").first()["v"] == 2.0
+        assert spark.table("switched.t").schema["time_6h"].dataType.typeName() == "timestamp_ntz"
+    finally:
+        spark.sql("DROP DATABASE switched CASCADE")
+
+
+def test_one_row_of_a_key_does_not_depend_on_partitions(spark, lake, slots):
+    rows = [("A", 0, 3.0), ("A", 0, 1.0), ("A", 0, None), ("B", 1, 2.0), ("B", 1, 2.0)]
+    for n in (1, 4):
+        got = lk.one_per_key(slots(rows, ["v"]).repartition(n), ["zone", "time_6h"]).collect()
+        assert sorted(((r["zone"], r["v"]) for r in got), key=str) == [("A", None), ("B", 2.0)]
+    assert lk.one_per_key(slots(rows, ["v"]).drop("v"), ["zone", "time_6h"]).count() == 2
+
+
 def test_insert_if_absent_is_idempotent_and_first_wins(lake, slots):
     keys = ["zone", "time_6h"]
     lake.insert_absent(slots([("A", 0, 1.0), ("A", 1, 1.0)], ["v"]), "silver", "s", keys, ["zone"])

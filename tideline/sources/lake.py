@@ -1,7 +1,10 @@
 """Layered parquet tables under one shared root: bronze, silver, gold."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.utils import AnalysisException
 
 
@@ -18,17 +21,57 @@ class Lake:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def exists(self, layer: str, name: str) -> bool:
+        self._settle(layer, name)
         fs, p = self._fs(self.path(layer, name) + "/_SUCCESS")
         return fs.exists(p)
 
+    def _aside(self, layer: str, name: str, mark: str) -> str:
+        """A hidden folder beside a table, on the same file system."""
+        return self.path(layer, f".{mark}-{name}")
+
+    def _settle(self, layer: str, name: str) -> None:
+        """Put the old table back if a switch was cut short between its two renames."""
+        fs, old = self._fs(self._aside(layer, name, "old"))
+        if fs.exists(old):
+            _, now = self._fs(self.path(layer, name))
+            if fs.exists(now):
+                fs.delete(old, True)
+            else:
+                fs.rename(old, now)
+
     def tables(self, layer: str) -> list[str]:
         fs, p = self._fs(f"{self.root}/{layer}")
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        if not fs.exists(p):
+            return []
+        return sorted(n for n in (s.getPath().getName() for s in fs.listStatus(p)) if not n.startswith("."))
 
     def replace(self, df: DataFrame, layer: str, name: str, by: list[str] = ()) -> DataFrame:
-        """Create or replace a table; ``by`` are its partition columns."""
+        """Create or replace a table; ``by`` are its partition columns.
+
+        The rows are written beside the table, which is switched only when the write has ended: a failed job leaves the
+        old rows. The switch is two renames, quick where a rename is one step (local, HDFS); a process lost between them
+        leaves the old table aside, and the next use puts it back. One writer a table at a time. On an object store use
+        ``add_catalog_table``.
+        """
+        self._settle(layer, name)
+        new = self._aside(layer, name, f"new-{uuid.uuid4().hex[:12]}")
         writer = df.write.mode("overwrite")
-        (writer.partitionBy(*by) if by else writer).parquet(self.path(layer, name))
+        try:
+            (writer.partitionBy(*by) if by else writer).parquet(new)
+        except BaseException:
+            fs, p = self._fs(new)
+            fs.delete(p, True)
+            raise
+        fs, fresh = self._fs(new)
+        _, now = self._fs(self.path(layer, name))
+        _, old = self._fs(self._aside(layer, name, "old"))
+        if fs.exists(now) and not fs.rename(now, old):
+            raise OSError(f"{now} could not be set aside")
+        if not fs.rename(fresh, now):
+            self._settle(layer, name)
+            raise OSError(f"{fresh} could not be put in place")
+        fs.delete(old, True)
+        self.spark.catalog.refreshByPath(self.path(layer, name))
         return self.read(layer, name)
 
     def append(self, df: DataFrame, layer: str, name: str, by: list[str] = ()) -> None:
@@ -37,6 +80,7 @@ class Lake:
 
     def read(self, layer: str, name: str) -> DataFrame:
         """The stored table; a clear error when it was never written."""
+        self._settle(layer, name)
         try:
             return self.spark.read.parquet(self.path(layer, name))
         except AnalysisException as exc:
@@ -46,7 +90,7 @@ class Lake:
                       by: list[str] = (), dedupe: bool = False) -> DataFrame:
         """Append rows whose key is not stored yet; a stored row never changes."""
         if dedupe:
-            batch = batch.dropDuplicates(keys)
+            batch = one_per_key(batch, keys)
         if self.exists(layer, name):
             batch = absent(batch, self.read(layer, name), keys)
         self.append(batch, layer, name, by)
@@ -75,22 +119,40 @@ def absent(batch: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     return batch.join(have, keys, "left_anti")
 
 
+def one_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key that is least by its other columns in their order (nulls first), whatever the partitioning."""
+    rest = [c for c in batch.columns if c not in keys]
+    if not rest or any(isinstance(batch.schema[c].dataType, (MapType, VariantType)) for c in rest):
+        return batch.dropDuplicates(keys)
+    return (batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*").select(*batch.columns))
+
+
 def upsert(stored: DataFrame, batch: DataFrame, keys: list[str], mode: str = "first_wins",
            dedupe: bool = False) -> DataFrame:
     """Stored rows plus the new ones. ``latest_wins`` lets the batch replace a stored row."""
     if mode == "first_wins":
-        new = batch.dropDuplicates(keys) if dedupe else batch
+        new = one_per_key(batch, keys) if dedupe else batch
         return stored.unionByName(absent(new, stored, keys))
     if mode == "latest_wins":
-        new = batch.dropDuplicates(keys) if dedupe else batch
+        new = one_per_key(batch, keys) if dedupe else batch
         return stored.join(new.select(*keys), keys, "left_anti").unionByName(new)
     raise ValueError(f"unknown mode {mode}")
 
 
 def add_catalog_table(df: DataFrame, name: str, by: list[str] = ()) -> None:
-    """Create or replace a catalog table."""
-    writer = df.write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+    """Create or replace ``name`` in the catalog: a view over a new folder, switched in one step by the catalog.
+
+    A failed write leaves the view on the old folder, and readers that have begun go on with it. Old folders lie beside
+    the new one under the database's location; the cluster's clean-up may take all but the view's own.
+    """
+    spark = df.sparkSession
+    *database, table = name.split(".")
+    where = spark.catalog.getDatabase(database[0] if database else spark.catalog.currentDatabase()).locationUri
+    path = f"{where.rstrip('/')}/{table}-{uuid.uuid4().hex[:12]}"
+    writer = df.write
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{path}`")
 
 
 def catalog_has(spark: SparkSession, name: str) -> bool:
