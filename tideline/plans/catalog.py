@@ -12,5 +12,6 @@ def everything() -> Registry:
     from tideline.plans.stat_queries import stat
     from tideline.plans.learning_queries import learn
     from tideline.plans.geo_queries import geo
+    from tideline.plans.lake_queries import stored
     from tideline.plans.stream_queries import stream
-    return Registry().merge(core, climate, report, metric, stat, learn, stream, geo)
+    return Registry().merge(core, climate, report, metric, stat, learn, stream, geo, stored)
