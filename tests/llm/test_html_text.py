@@ -36,3 +36,33 @@ def test_marked_article():
     assert html_text.main_text(page) == "A linked title Only a few words. End."
     assert html_text.main_text("<article><a href=1>Nothing but a link</a></article>") == "Nothing but a link"
     assert html_text.main_text("<p>Tiny</p>") == "Tiny"
+
+
+def test_a_long_notice_beside_an_article():
+    notice = "<div><p>" + "We may change the terms of this site at any time and without further word. " * 2 + "</p></div>"
+    page = f"<body>{notice}<article><p>{BODY[0]}</p><p>{BODY[1]}</p></article>{notice}</body>"
+    assert html_text.main_text(page) == f"{BODY[0]} {BODY[1]}"
+    teaser = "<article><p>What else happened today.</p></article>"
+    assert html_text.main_text(f"<body>{teaser}<div><p>{BODY[0]}</p><p>{BODY[1]}</p></div></body>").endswith(f"{BODY[0]} {BODY[1]}")
+
+
+def test_a_list_of_links_ends_no_text():
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a><li><a href=4>Four</a></ul>"
+    page = f"<body>{links}<div><p>{BODY[0]}<p>{BODY[1]}</p>{links}<p>Last short line.</p></div>{links}<p>(c) Someone</p></body>"
+    assert html_text.main_text(page) == f"{BODY[0]} {BODY[1]} One Two Three Four Last short line."
+    # in the page itself nothing tells the end of the text from what follows
+    assert html_text.main_text(f"<body><p>{BODY[0]}</p>{links}<p>(c) Someone</p></body>") == BODY[0]
+
+
+def test_names_inside_an_article():
+    page = ("<div class=entry-header>Menu of the site</div><article><div class='entry-header'><h1>Title</h1></div>"
+            f"<p class='related work'>{BODY[0]}</p><section class=menu-of-the-day><p>Soup.</p></section>"
+            "<div class=ad-slot>Buy</div><div class='large ad'>Now</div><p class=ad>More</p><div id=comments>Nice</div>"
+            "<div role=navigation>Go</div><p class='share'>Send</p><p>End.</p></article>")
+    assert html_text.main_text(page) == f"Title {BODY[0]} Soup. End."
+
+
+def test_pages_without_blocks_or_with_stray_tags():
+    for page in ("", "   ", "</div></p></article>", "<p>", "<div><div><div>", "<article></article>"):
+        assert html_text.main_text(page) == ""
+    assert html_text.main_text("</div><p>" + BODY[0] + "</section></p></p>") == BODY[0]

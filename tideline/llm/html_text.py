@@ -9,10 +9,19 @@ the page's fullest window if that has less, and ends at a dive, where a window
 holds nothing but links; the lines between are kept whole.
 
 A character in a marked article weighs ``ARTICLE`` times as much, so a short
-article survives; text outside is kept where it surges by itself. Each article
-is a text of its own, in which links are text once it has begun, and what is
-outside goes on behind it. A stripped element ends no text, but no window
-reaches across it to begin one.
+article survives; text outside is kept where it surges by itself and has more
+than ``RIVAL`` times the characters of the longest article, so a long notice
+is not kept beside an article, but a body beside teasers is. Each article is a
+text of its own, in which links are text once it has begun, and what is outside
+goes on behind it. A stripped element ends no text, but no window reaches
+across it to begin one. A dive ends no text outside while the same element
+(other than body or main) goes on with more of it: lists of links between two
+of its paragraphs are kept.
+
+Names of class, id and role strip an element outside an article if one of their
+words is on the list. Inside, where ``entry-header`` or ``related work`` may
+hold the text itself, a whole name must be on the list or begin with one of
+``SURELY_NOT``, and of a paragraph or heading all names.
 
 Defined cases: null, empty and text-less pages give an empty text; a stripped
 element that is never closed is only skipped if its content is no markup
@@ -35,6 +44,7 @@ from tideline.llm.common import per_batch, whole
 WINDOW = 3                 # lines
 SURGE = 80                 # characters in a window
 ARTICLE = 8                # weight of a character in a marked article
+RIVAL = 2                  # text outside has more than this times the longest article
 
 # Element names of HTML, and words of class, id and role names.
 RAW = frozenset("script style noscript template iframe object svg math textarea select title head".split())
@@ -48,6 +58,11 @@ NOT_TEXT = frozenset(
     "cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices pagination "
     "popup promo promoted related respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar widget".split())
+SURELY_NOT = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies nav newsletter "
+    "share sharing sidebar social sponsored subscribe".split())
+LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th tr figcaption caption".split())
+ROOT = frozenset("html body main".split())
 # End of the fixed values.
 
 _TOKEN = re.compile(
@@ -71,20 +86,31 @@ def _no_text(name: str, attributes: str, in_article: int) -> bool:
         return True
     if not attributes.strip():
         return False
-    words = {w for value in _NAMED.findall(attributes) for w in _SPLIT.split(value.lower())}
+    named = _NAMED.findall(attributes)
+    words = {w for value in named for w in _SPLIT.split(value.lower())}
     if name == "article":
         return bool(words & {"comment", "comments"})
-    return bool(words & NOT_TEXT) or bool(_HIDDEN.search(attributes))
+    if _HIDDEN.search(attributes):
+        return True
+    if not in_article or not words & NOT_TEXT:
+        return bool(words & NOT_TEXT)
+    whole_names = [w for value in named for w in value.strip("\"'").lower().split()]
+    hits = [w != "header" and (w in NOT_TEXT or _SPLIT.split(w)[0] in SURELY_NOT) for w in whole_names]
+    return bool(hits) and (all(hits) if name in LEAF else any(hits))
 
 
-def lines(page: str) -> list[tuple[str, int, int, bool]]:
-    """(text, article, characters of links, cut) of each line.
+def lines(page: str) -> list[tuple[str, int, int, bool, int]]:
+    """(text, article, characters of links, cut, container) of each line.
 
     ``article`` numbers the outermost articles from one and is zero outside;
     ``cut`` marks a line with a stripped element or the border of an article
-    between itself and the line before.
+    between itself and the line before. ``container`` numbers the innermost
+    element around the line that is no paragraph, heading, item or cell; it is
+    zero in the page itself.
     """
-    out: list[tuple[str, int, int, bool]] = []
+    out: list[tuple[str, int, int, bool, int]] = []
+    around: list[tuple[str, int]] = []               # open block elements with their container
+    containers = 0
     part: list[str] = []
     at = article = link = linked = number = 0
     skip, depth, cut = "", 0, False
@@ -93,7 +119,7 @@ def lines(page: str) -> list[tuple[str, int, int, bool]]:
         nonlocal linked, cut
         text = " ".join(references.unescape("".join(part)).split())
         if text:
-            out.append((text, number if article else 0, linked, cut))
+            out.append((text, number if article else 0, linked, cut, around[-1][1] if around else 0))
             cut = False
         part.clear()
         linked = 0
@@ -140,6 +166,20 @@ def lines(page: str) -> list[tuple[str, int, int, bool]]:
         if name in INLINE:
             continue
         end_line()
+        if closing:
+            i = len(around) - 1
+            while i >= 0 and around[i][0] != name:
+                i -= 1
+            if i >= 0:
+                del around[i:]
+        elif name not in VOID and name not in ROOT:
+            if around and (around[-1][0] == "p" or around[-1][0] == name and name in LEAF):
+                around.pop()                         # its end tag is left out
+            if name in LEAF:
+                around.append((name, around[-1][1] if around else 0))
+            else:
+                containers += 1
+                around.append((name, containers))
         if name == "article":
             cut = True
             number += not closing and not article
@@ -171,11 +211,27 @@ def surge_to_dive(lengths: np.ndarray, sums: np.ndarray, limit: int) -> np.ndarr
     return keep
 
 
+def go_on(keep: np.ndarray, plain: np.ndarray, container: np.ndarray) -> np.ndarray:
+    """``keep`` and the lines from the first kept one of an element to the last with text of the same element."""
+    step = np.zeros(len(keep) + 1, np.int64)
+    text = (plain > 0) & (container > 0)
+    last = {c: i for i, c in zip(np.flatnonzero(text).tolist(), container[text].tolist())}
+    begun = set()
+    for i in np.flatnonzero(keep & text).tolist():
+        c = int(container[i])
+        if c not in begun:
+            begun.add(c)
+            step[i] += 1
+            step[last[c] + 1] -= 1
+    return keep | (np.cumsum(step[:-1]) > 0)
+
+
 def main_text(page: str) -> str:
     found = lines(page)
     if not found:
         return ""
-    size, article, linked, cuts = (np.array(x) for x in zip(*((len(t), a, n, c) for t, a, n, c in found)))
+    size, article, linked, cuts, container = (
+        np.array(x) for x in zip(*((len(t), a, n, c, e) for t, a, n, c, e in found)))
     plain = np.maximum(0, size - linked)
     if not plain.any():
         plain = np.where(article > 0, size, 0)       # an article of links only
@@ -187,9 +243,16 @@ def main_text(page: str) -> str:
         cut = cuts[rows] | (np.diff(rows, prepend=rows[0]) > 1)
         sums[rows] = window_sums(np.where(article > 0, ARTICLE, 1)[rows] * plain[rows], cut)
     limit = min(SURGE, max(1, sums.max()))
+    longest = max((int(plain[rows].sum()) for rows in flows if article[rows[0]]), default=0)
     keep = np.zeros(len(found), bool)
     for rows in flows:
-        keep[rows] = surge_to_dive(lengths[rows], sums[rows], limit)
+        kept = surge_to_dive(lengths[rows], sums[rows], limit)
+        if not article[rows[0]]:
+            kept = go_on(kept, plain[rows], container[rows])
+            begins = kept & ~np.r_[False, kept[:-1]]
+            text = np.cumsum(begins) * kept          # number of the text a line is part of
+            kept &= np.bincount(text, plain[rows] * kept)[text] > RIVAL * longest
+        keep[rows] = kept
     return " ".join(t for (t, *_), k in zip(found, keep) if k)
 
 
