@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         if not _own_root:
             _own_root.append(tempfile.mkdtemp(prefix="tideline-"))
