@@ -4,12 +4,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tideline import settings as S
-from tideline.operators import features as X, resample as R
+from tideline.operators import climatology as K, features as X, resample as R
 from tideline.plans import oracle as O
 from tideline.plans.core_queries import h_silver
 from tideline.plans.report_queries import EPISODES
 from tideline.plans.registry import Registry
-from tideline.session import shared_folder
+from tideline.session import cut_lineage, shared_folder
 from tideline.sources import adapters as A
 from tideline.sources.lake import Lake
 from tideline.streaming import streams as G
@@ -32,7 +32,7 @@ def in_order(spark, df, part, n):
     for f in fs.globStatus(where) or []:     # a file source takes files by their time
         number = int(f.getPath().getParent().getName().split("=")[1])
         fs.setTimes(f.getPath(), 1_000_000_000_000 + 1000 * number, -1)
-    return G.file_stream(spark, path, df.schema, files=1)
+    return G.file_stream(spark, path, df.schema, files=1).drop("_part")
 
 
 def landed(spark, df, time="time_6h", parts=3):
@@ -119,6 +119,22 @@ def _(spark, d):
     return G.run_to_table(joined.join(zones, "zone", "left"), "append")
 
 
+_SEASON = "extract(doy FROM time_6h) AS doy, extract(hour FROM time_6h) AS hour"
+
+
+@stream.add("X6_stream_climatology", O.sql(
+    "SELECT w.zone, w.time_6h, w.precipitation, p.usual AS usual_precipitation, round(w.precipitation - p.usual, 9) AS "
+    "precipitation_departure FROM h_slots w LEFT JOIN prof p ON p.zone = w.zone AND p.doy = extract(doy FROM w.time_6h) AND "
+    "p.hour = extract(hour FROM w.time_6h)", "h_slots",
+    extra={"prof": f"SELECT zone, {_SEASON}, {O.mean('precipitation')} AS usual FROM h_slots WHERE extract(year FROM time_6h) < 1997 "
+                   "GROUP BY 1, 2, 3"}))
+def _(spark, d):
+    slots = cut_lineage(R.resample(A.history_weather(spark, d)).select("zone", "time_6h", "precipitation"))
+    usual = K.profile(slots.filter(F.year("time_6h") < 1997), ["precipitation"])
+    x = G.run_to_table(G.with_climatology(landed(spark, slots), usual), "append")
+    return x.withColumn("precipitation_departure", F.round("precipitation_departure", 9))
+
+
 @stream.add("X7_stream_episodes", O.sql(EPISODES, "scored"))
 def _(spark, d):
     flagged = A.scored(spark, d).filter(F.col("flood_pred") == 1).select("zone", "time_6h", "risk_score")

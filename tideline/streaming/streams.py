@@ -67,6 +67,17 @@ def with_daily(slots: DataFrame, daily: DataFrame, lag_days: int = 1) -> DataFra
     return join_discharge(slots, daily, lag_days)
 
 
+def with_climatology(slots: DataFrame, profile: DataFrame, measures=("precipitation",)) -> DataFrame:
+    """Stream of slots with the static seasonal profile beside each measure, and the departure from it.
+
+    A slot without a profile row has null in both. Whether the profile is broadcast is left to its measured size.
+    """
+    from tideline.operators.climatology import season_keys
+    usual = profile.select("zone", "doy", "hour", *[F.col(c).alias(f"usual_{c}") for c in measures])
+    x = slots.select("*", *season_keys()).join(usual, ["zone", "doy", "hour"], "left").drop("doy", "hour")
+    return x.select("*", *[(F.col(c) - F.col(f"usual_{c}")).alias(f"{c}_departure") for c in measures])
+
+
 # ---- stateful lags ---------------------------------------------------------------------
 _SIGNALS = ["precipitation", "temperature_2m", "relative_humidity_2m", "et0_fao_evapotranspiration"]
 LAG_SCHEMA = ("zone string, time_6h timestamp_ntz, precip_lag_6h double, precip_lag_12h double, precip_lag_24h double, "
