@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import settings as S
-from tideline.functions.fixed_point import mean
+from tideline.functions.sums import mean
 from tideline.operators.resample import slot_start
 
 

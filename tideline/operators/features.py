@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideline import settings as S
 from tideline.functions import columns as C
-from tideline.functions.fixed_point import mean_over, millionths, total_over
+from tideline.functions.sums import mean_over, total_over, value
 from tideline.operators.scale import halo_windows
 
 LOOK_BACK = 11  # the 72 h sum reads eleven earlier slots
@@ -126,6 +126,6 @@ def rolling_mean(df: DataFrame, col: str, n: int, key: str = "zone", order: str
 
     def frames(w):
         frame = w.rowsBetween(1 - n, 0)
-        return [F.when(F.count(millionths(col)).over(frame) == n, mean_over(col, frame)).alias(out)]
+        return [F.when(F.count(value(col)).over(frame) == n, mean_over(col, frame)).alias(out)]
 
     return halo_windows(df, [key], order, n - 1, frames, **scale)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tideline.functions.fixed_point import mean
+from tideline.functions.sums import mean
 from tideline.operators.scale import running, staged_blocks
 
 RELIEF = ["Low Relief", "Moderate Relief", "High Relief"]  # by rising mean elevation

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tideline import settings as S
 from tideline.functions import columns as C
-from tideline.functions.fixed_point import mean
+from tideline.functions.sums import mean
 from tideline.operators.climatology import time_grid
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import settings as S
 from tideline.functions import columns as C
-from tideline.functions.fixed_point import mean, total
+from tideline.functions.sums import mean, total
 from tideline.operators.scale import row_index, running, time_block
 
 # ---- alerts and summaries -----------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline import settings as S
-from tideline.functions.fixed_point import UNITS, mean, millionths
+from tideline.functions.sums import mean, settle, value
 from tideline.functions.tails import correlation_p, normal_p
 from tideline.operators.scale import quantile_columns, running, staged_blocks
 
@@ -85,12 +85,11 @@ def rank_sum_test(ranks: DataFrame, min_class: int = 10, alpha: float = 0.05) ->
     """
     n1, n2, n = F.col("n1"), F.col("n2"), F.col("n1") + F.col("n2")
     mid_rank = (2 * F.col("cn") - F.col("n") + 1) / F.lit(2.0)
-    units = millionths("value")
     x = ranks.groupBy("feature").agg(
         F.max("cp_total").cast("double").alias("n1"), F.max("cg_total").cast("double").alias("n2"),
         F.sum(F.col("pos") * mid_rank).alias("r1"),
         F.sum(F.pow(F.col("n").cast("double"), 3.0) - F.col("n")).alias("ties"),
-        F.sum(units * F.col("pos")).alias("s1"), F.sum(units * F.col("neg")).alias("s2"),
+        F.sum(value("value") * F.col("pos")).alias("s1"), F.sum(value("value") * F.col("neg")).alias("s2"),
         *quantile_columns("cp", "pos", "cp_total", "value", {"flood_median": 0.5}),
         *quantile_columns("cg", "neg", "cg_total", "value", {"no_flood_median": 0.5}))
     x = x.filter((n1 >= min_class) & (n2 >= min_class))
@@ -104,7 +103,7 @@ def rank_sum_test(ranks: DataFrame, min_class: int = 10, alpha: float = 0.05) ->
         "feature", "flood_median", "no_flood_median",
         (F.col("flood_median") - F.col("no_flood_median")).alias("delta_median"), "mw_statistic", "z",
         "p_value", (F.col("p_value") < alpha).alias("significant"),
-        F.when(F.col("s1") / n1 > F.col("s2") / n2, "higher_on_flood").otherwise("lower_on_flood")
+        F.when(settle(F.col("s1") / n1) > settle(F.col("s2") / n2), "higher_on_flood").otherwise("lower_on_flood")
         .alias("effect_direction")).orderBy("p_value", F.col("z").desc(), "feature")
 
 
@@ -168,5 +167,5 @@ def group_medians(ranks: DataFrame) -> DataFrame:
     return ranks.groupBy("feature").agg(
         *quantile_columns("cp", "pos", "cp_total", "value", {"flood_median": 0.5}),
         *quantile_columns("cg", "neg", "cg_total", "value", {"no_flood_median": 0.5}),
-        (F.sum(millionths("value") * F.col("pos")) / F.lit(UNITS) / F.max("cp_total")).alias("flood_mean"),
-        (F.sum(millionths("value") * F.col("neg")) / F.lit(UNITS) / F.max("cg_total")).alias("no_flood_mean"))
+        settle(F.sum(value("value") * F.col("pos")) / F.max("cp_total")).alias("flood_mean"),
+        settle(F.sum(value("value") * F.col("neg")) / F.max("cg_total")).alias("no_flood_mean"))

@@ -178,7 +178,7 @@ _HOURS = {"hours": "SELECT zone, time, " + ", ".join(f"{O.mean(c)} AS {c}" for c
 
 
 def _hourly(spark, d):
-    from tideline.functions.fixed_point import mean
+    from tideline.functions.sums import mean
     return A.weather_hourly(spark, d).groupBy("zone", "time").agg(*[mean(c).alias(c) for c in M])
 
 

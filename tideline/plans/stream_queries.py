@@ -86,9 +86,9 @@ _CLOCKED = ("SELECT a.*, c.clock, time_bucket(INTERVAL '6 hours', a.time) AS slo
 
 
 @stream.add("X4_stream_late_rows", O.sql(
-    f"SELECT 'late' AS kind, zone, time, 1::BIGINT AS readings, coalesce({O.units('precipitation')}, 0) / 1e6 AS "
+    f"SELECT 'late' AS kind, zone, time, 1::BIGINT AS readings, coalesce(round(precipitation, 9), 0) AS "
     "precipitation FROM clocked WHERE due <= clock UNION ALL SELECT 'slot', zone, slot, COUNT(*), "
-    f"SUM(coalesce({O.units('precipitation')}, 0))::BIGINT / 1e6 FROM clocked WHERE clock IS NULL OR due > clock GROUP BY zone, slot, "
+    f"coalesce({O.total('precipitation')}, 0) FROM clocked WHERE clock IS NULL OR due > clock GROUP BY zone, slot, "
     "due HAVING due <= (SELECT MAX(time) FROM arrived)", "weather", extra={"arrived": _ARRIVED, "clocked": _CLOCKED}))
 def _(spark, d):
     rows = A.weather_hourly(spark, d).select("zone", "time", "precipitation")

@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline import settings as S
-from tideline.functions.fixed_point import mean
+from tideline.functions.sums import mean
 from tideline.functions.columns import flood_pred
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from tideline import settings as S
 from tideline.functions.columns import as_event_time, from_event_time
-from tideline.functions.fixed_point import UNITS, mean, millionths, total
+from tideline.functions.sums import DIGITS, mean, settle, total, value
 from tideline.session import shared_folder
 
 LATENESS = "12 hours"
@@ -90,8 +90,8 @@ _STATE = "slots array<struct<at:timestamp_ntz,v:array<double>>>"
 def _lag_rows(zone: str, seen: pd.DataFrame, fresh: pd.DataFrame) -> pd.DataFrame:
     x = pd.concat([seen, fresh], ignore_index=True)
     rain, hum = x["precipitation"], x["relative_humidity_2m"]
-    whole = lambda s: ((s * UNITS + 0.5) // 1)  # whole millionths, exact below 2^53
-    roll = lambda s, n: whole(s).rolling(n, min_periods=1).sum().round() / UNITS
+    # every window is added up anew: a running sum would keep what a large value left behind
+    roll = lambda s, n: sum(s.shift(k, fill_value=0.0) for k in range(n)).round(DIGITS)
     out = pd.DataFrame({"zone": zone, "time_6h": x["time_6h"]})
     for k in (1, 2, 4, 8):
         out[f"precip_lag_{6 * k}h"] = rain.shift(k)
@@ -137,7 +137,7 @@ def stateful_lags(slots: DataFrame) -> DataFrame:
 
 # ---- late rows ------------------------------------------------------------------------------
 HOLD_MS = 3650 * 86_400_000       # Spark's own watermark trails this far behind the newest row, so that it drops nothing
-CLOSED_SCHEMA = "kind string, zone string, at long, readings long, rain long"
+CLOSED_SCHEMA = "kind string, zone string, at long, readings long, rain double"
 
 
 class ClosedSlots(StatefulProcessor):
@@ -148,7 +148,7 @@ class ClosedSlots(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "slot long", "readings long, rain long")
+        self.open = handle.getMapState("open", "slot long", "readings long, rain double")
 
     def _due(self, slot):
         return slot + self.slot_ms + self.lateness_ms - HOLD_MS
@@ -192,11 +192,11 @@ def slots_and_late_rows(hourly: DataFrame, lateness_hours: int = BUFFER, hours:
         F.col("zone").isNotNull() & F.col("_at").isNotNull()).withWatermark("_at", f"{HOLD_MS // 86_400_000} days")
     at = F.unix_millis("_at")
     x = x.select("zone", "_at", at.alias("at"), (at - F.pmod(at, F.lit(hours * hour))).alias("slot"),
-                 F.coalesce(millionths("precipitation"), F.lit(0)).cast("long").alias("rain"))
+                 F.coalesce(value("precipitation"), F.lit(0.0)).alias("rain"))
     out = x.groupBy("zone").transformWithStateInPandas(
         ClosedSlots(hours * hour, lateness_hours * hour), CLOSED_SCHEMA, "Append", "EventTime")
     return out.select("kind", "zone", from_event_time(F.timestamp_millis("at")).alias("time"), "readings",
-                      (F.col("rain").cast("double") / F.lit(UNITS)).alias("precipitation"))
+                      settle(F.col("rain")).alias("precipitation"))
 
 
 @contextmanager
