@@ -32,6 +32,40 @@ def test_nearest_is_exact_with_copies(cloud, chunk, pivots):
         assert [got[a][p] for p in (1, 2, 3, 4)] == list(ids[np.lexsort((ids, d[i]))[:4]])
 
 
+@pytest.mark.parametrize("job", [lambda df: N.nearest(df, df, 3), B.smote_tomek])
+def test_vectors_are_written_a_few_times(spark, monkeypatch, job):
+    """Points without any order: no cell can be left out, and yet no vector goes out once for each cell."""
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist(), int(i % 4 == 0)) for i, v in enumerate(rng.normal(size=(1500, 24)))]
+    seen, write = [], N.cut_lineage
+
+    def counted(df):
+        out = write(df)
+        if "vec" in out.columns:
+            seen.append(out.count())
+        return out
+    monkeypatch.setattr(N, "cut_lineage", counted)
+    assert job(spark.createDataFrame(rows, "id bigint, vec array<double>, label int")).count() > 0
+    assert sum(seen) <= 8 * 2250                     # 750 rows are added by smote
+
+
+@pytest.mark.parametrize("shift,scale", [(0.0, 1.0), (1e6, 1.0), (0.0, 1e-30), (0.0, 1e100)])
+def test_nearest_with_ties_repeated_ids_and_odd_vectors(spark, shift, scale):
+    rng = random.Random(5)
+    grid = [[shift + scale * rng.randrange(4) for _ in range(3)] for _ in range(150)]
+    points = [(f"p{i % 130}", v) for i, v in enumerate(grid)]
+    asked = [(f"p{i}", v) for i, v in enumerate(grid[::7])] + [("q", [shift + scale * 0.5] * 3), ("q", grid[0]), ("r", grid[3])]
+    odd = [("n", None), ("m", [1.0, None, 2.0]), ("o", [math.nan] * 3), ("i", [math.inf] * 3)]
+    frames = [spark.createDataFrame(x + odd, "id string, vec array<double>") for x in (asked, points)]
+    got = {}
+    for r in N.nearest(*frames, 4, 20, 5).collect():
+        got.setdefault(r["id"], {})[r["place"]] = (r["distance"], r["neighbour"])
+    want = {}
+    for name, v in asked:
+        want.setdefault(name, []).extend((float(np.sqrt(((np.array(v) - np.array(u)) ** 2).sum())), p) for p, u in points if p != name)
+    assert {n: [x[p] for p in sorted(x)] for n, x in got.items()} == {n: sorted(x)[:4] for n, x in want.items()}
+
+
 def test_fewer_points_than_neighbours(spark):
     df = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id bigint, vec array<double>")
     assert sorted((r["id"], r["neighbour"]) for r in N.nearest(df, df, 5).collect()) == [(1, 2), (2, 1)]
