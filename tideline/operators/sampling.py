@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tideline import settings as S
 from tideline.operators.neighbours import nearest
 from tideline.operators.splits import shuffled
+from tideline.session import cut_lineage
 
 ID = ("zone", "time_6h")
 
@@ -121,7 +122,7 @@ def tomek_links(df: DataFrame) -> DataFrame:
 def drop_tomek(df: DataFrame, both: bool = False) -> DataFrame:
     """Remove the majority end of every link, or both ends."""
     x = _as_text_id(df)
-    links = tomek_links(x)
+    links = cut_lineage(tomek_links(x)) if both else tomek_links(x)
     gone = links.select("id")
     if both:
         gone = gone.unionByName(links.select(F.col("neighbour").alias("id")))
@@ -129,4 +130,5 @@ def drop_tomek(df: DataFrame, both: bool = False) -> DataFrame:
 
 
 def smote_tomek(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
-    return drop_tomek(smote(df, k, seed), both=True)
+    """``smote``, then both ends of every link removed; the synthetic rows are written once, as several steps read them."""
+    return drop_tomek(cut_lineage(smote(df, k, seed)), both=True)
