@@ -122,6 +122,19 @@ def test_late_rows_go_to_the_side_and_no_row_is_lost(spark):
     assert sum(r[3] for r in got) + still_open == 600
 
 
+def test_a_table_without_flagged_slots_has_no_episodes(spark, tmp_path):
+    """Slots of many rows: every mean price is below the threshold, so that nothing is landed."""
+    from tideline.plans.stream_queries import stream
+    rows = spark.range(400).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "50D AS l_quantity",
+        "52000D AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "'A' AS l_returnflag",
+        "CAST('1996-01-01' AS timestamp_ntz) + make_dt_interval(id % 4) AS l_shipdate")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = stream.queries["X7_stream_episodes"](spark, str(tmp_path))
+    assert got.columns == ["zone", "episode_start", "episode_end", "slots", "duration_hours", "peak_score"]
+    assert got.collect() == []
+
+
 def test_late_rows_of_an_empty_feed(spark):
     path = shared_folder(spark, "feed")
     spark.createDataFrame([], "zone string, time timestamp_ntz, precipitation double").write.parquet(path)

@@ -217,18 +217,23 @@ def run_to_table(stream: DataFrame, mode: str, keys: list[str] | None = None, ch
 
     Every micro-batch writes its own folder, so a repeated batch replaces
     itself. In update mode the last batch that holds a key wins; in complete
-    mode the last batch is the table.
+    mode the last batch is the table. A feed without a file has no batch and
+    gives an empty table.
     """
     spark = stream.sparkSession
     path = shared_folder(spark, "stream")
     work = checkpoint or shared_folder(spark, "progress")
+    written = []
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number:09d}")
+        written.append(number)
 
     q = (stream.writeStream.outputMode(mode).option("checkpointLocation", work)
          .trigger(availableNow=True).foreachBatch(put).start())
     q.awaitTermination()
+    if not written:
+        return spark.createDataFrame([], stream.schema)
     schema = T.StructType(stream.schema.fields + [T.StructField("batch", T.IntegerType())])
     rows = spark.read.schema(schema).parquet(path)
     cols = stream.columns
