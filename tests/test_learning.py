@@ -108,6 +108,24 @@ def test_copies_and_draws(spark, slots):
         B.over_sample(x.filter("is_flood = 0"))
 
 
+def test_over_sampling_of_a_single_class(spark, slots, tmp_path):
+    from tideline.plans.learning_queries import learn
+    x = slots([("A", n, n % 2) for n in range(10)], ["is_flood"])
+    for only in (0, 1):
+        one = x.filter(F.col("is_flood") == only)
+        assert sorted(B.over_sample(one, one_class="keep").collect()) == sorted(one.collect())
+        with pytest.raises(B.TooFewMinorityRows):
+            B.over_sample(one)
+    assert B.over_sample(x.limit(0), one_class="keep").count() == 0
+    rows = spark.range(400).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "CAST(id % 50 + 1 AS double) AS l_quantity",
+        "52000D AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "'A' AS l_returnflag",
+        "CAST('1996-01-01' AS timestamp_ntz) + make_dt_interval(CAST(id / 100 AS int)) AS l_shipdate")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")     # a hundred rows a slot: each has a quantity of 49
+    got = learn.queries["M23_over_sampling"](spark, str(tmp_path))
+    assert [(r["is_flood"], r["n"]) for r in got.collect()] == [(1, 4)]
+
+
 def test_a_row_repeated_very_often(spark):
     x = spark.createDataFrame([(1,)], "id int")
     r = B._repeat(x, F.lit(10_000)).agg(F.count(F.lit(1)).alias("n"), F.min("copy").alias("a"), F.max("copy").alias("z"),

@@ -31,12 +31,18 @@ class TooFewMinorityRows(ValueError):
     """A class has too few rows, or too few near the other class, to draw or synthesise from."""
 
 
-def over_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 42) -> DataFrame:
+def over_sample(df: DataFrame, label: str = S.TARGET, identity=ID, seed: int = 42, one_class: str = "raise") -> DataFrame:
     """Repeat minority rows until both classes have the same size.
 
     Every row is repeated equally often; the remainder goes to rows drawn by hash.
+    Without a minority row nothing can be repeated: ``one_class`` "raise" says so,
+    "keep" returns the rows of the only class as they are.
     """
+    if one_class not in ("raise", "keep"):
+        raise ValueError(f"unknown choice {one_class!r}")
     many, few, rare = class_sizes(df, label)
+    if few == 0 and one_class == "keep":
+        return df.filter(F.col(label) == 1 - rare)
     if few == 0:
         raise TooFewMinorityRows("there is no minority row to repeat")
     small = shuffled(df.filter(F.col(label) == rare), [], list(identity), seed)

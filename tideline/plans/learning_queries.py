@@ -196,7 +196,8 @@ _BIG, _FEW = "COUNT(*) FILTER (is_flood = 0)", "COUNT(*) FILTER (is_flood = 1)"
 @learn.add("M23_over_sampling", O.sql(
     f"SELECT b AS n, c AS is_flood FROM (SELECT greatest({_BIG}, {_FEW}) AS b FROM scored) q, (SELECT unnest([0, 1]) AS c) z", "scored"))
 def _(spark, d):
-    return P.over_sample(A.scored(spark, d)).groupBy("is_flood").agg(F.count(F.lit(1)).alias("n"))
+    # where every slot is of one class there is nothing to repeat; the counts then show that class alone
+    return P.over_sample(A.scored(spark, d), one_class="keep").groupBy("is_flood").agg(F.count(F.lit(1)).alias("n"))
 
 
 @learn.add("M24_under_sampling", O.sql(
