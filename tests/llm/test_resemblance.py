@@ -62,6 +62,24 @@ def test_threshold_chains_and_odd_rows(spark):
     assert resemblance.near_copies(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_links_of_the_anchor_covering_are_candidates(spark, monkeypatch):
+    """Without any common band, alike texts with at most three differing bits are still met; others are not linked."""
+    from pyspark.sql import functions as F
+    from tideline.llm import simhash
+    rng = random.Random(13)
+    rows = []
+    for i in range(0, 80, 2):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:290], *(f"z{i}-{j}" for j in range(rng.randrange(3)))]))]
+    signed = resemblance._signed
+    monkeypatch.setattr(resemblance, "_signed", lambda texts: signed(texts).withColumn("bands", F.array(F.xxhash64("doc_id"))))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.component_id for r in resemblance.near_copies(docs).collect()}
+    bits = {d: simhash.fingerprint(t.encode()) for d, t in rows}
+    near = [i for i in range(0, 80, 2) if (bits[i] ^ bits[i + 1]).bit_count() <= 3]
+    assert near and got == {d: d - d % 2 if d - d % 2 in near else d for d in bits}
+
+
 def test_pairs_left_by_the_pivots(spark):
     """Two groups in one cell whose pivots are not alike to the members that link them."""
     rng = random.Random(8)

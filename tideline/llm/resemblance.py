@@ -3,10 +3,12 @@
 Two documents are linked if the Jaccard similarity of their shingle sets is at
 least four fifths; documents reachable over links are one component.
 
-Candidates come from MinHash: 200 minima of a set in 40 bands of five. Two sets
-at similarity s miss each other with probability (1 - s^5)^40, one in eight
-million at 0.8 and less above. Every candidate is then settled by its two
-texts, so no document is linked by an estimate.
+Candidates come from the SimHash operator first: the documents that its anchor
+covering puts into one component share a cell. Three bits are stricter than the
+similarity, so MinHash adds the pairs further apart: 200 minima of a set in 40
+bands of five. Two sets at similarity s miss each other there with probability
+(1 - s^5)^40, one in eight million at 0.8 and less above. Every candidate is then
+settled by its two texts, so no document is linked by an estimate.
 
 Equal sets are one node before anything is replicated. A pivot round tests every
 node of a cell against one pivot of the cell, which links a dense group at a
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tideline.llm.common import per_batch, whole
-from tideline.llm.simhash import components
+from tideline.llm.simhash import components, near_duplicates
 from tideline.session import cut_lineage
 
 SHINGLE = 5
@@ -175,6 +177,14 @@ def _met(prefixes: DataFrame) -> DataFrame:
     return x.join(y, on).select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
 
 
+def _covered(texts: DataFrame, each: DataFrame) -> DataFrame:
+    """cell, key, n: a cell for every component of the SimHash operator that holds several nodes."""
+    dealt = near_duplicates(texts).select("doc_id", F.xxhash64("component_id").alias("cell")).distinct()
+    found = each.select("doc_id", "key", "n").join(dealt, "doc_id").select("cell", "key", "n").distinct()
+    several = found.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    return cut_lineage(found.join(several.select("cell"), "cell", "left_semi"))
+
+
 def _links(texts: DataFrame, nodes: DataFrame, cells: DataFrame) -> DataFrame | None:
     """key, component of the nodes that have links; None without any."""
     several = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
@@ -220,7 +230,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     each = cut_lineage(_signed(texts))
     nodes = cut_lineage(each.groupBy("key").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"),
                                                 F.first("bands").alias("bands")))
-    cells = nodes.select(F.explode("bands").alias("cell"), "key", "n")
+    cells = nodes.select(F.explode("bands").alias("cell"), "key", "n").unionByName(_covered(texts, each))
     label = _links(texts, nodes.select("key", "id"), cells)
     of_key = nodes.select("key", F.col("id").alias("component_id"))
     if label is not None:
