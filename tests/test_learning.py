@@ -55,11 +55,13 @@ def test_nearest_with_ties_repeated_ids_and_odd_vectors(spark, shift, scale):
     grid = [[shift + scale * rng.randrange(4) for _ in range(3)] for _ in range(150)]
     points = [(f"p{i % 130}", v) for i, v in enumerate(grid)]
     asked = [(f"p{i}", v) for i, v in enumerate(grid[::7])] + [("q", [shift + scale * 0.5] * 3), ("q", grid[0]), ("r", grid[3])]
-    odd = [("n", None), ("m", [1.0, None, 2.0]), ("o", [math.nan] * 3), ("i", [math.inf] * 3)]
+    odd = [("m", [1.0, None, 2.0]), ("o", [math.nan] * 3), ("i", [math.inf] * 3)]
     frames = [spark.createDataFrame(x + odd, "id string, vec array<double>") for x in (asked, points)]
     got = {}
     for r in N.nearest(*frames, 4, 20, 5).collect():
         got.setdefault(r["id"], {})[r["place"]] = (r["distance"], r["neighbour"])
+    with pytest.raises(Exception, match="a vector is null"):
+        N.nearest(*[x.union(spark.createDataFrame([("n", None)], x.schema)) for x in frames], 4)
     want = {}
     for name, v in asked:
         want.setdefault(name, []).extend((float(np.sqrt(((np.array(v) - np.array(u)) ** 2).sum())), p) for p, u in points if p != name)

@@ -162,7 +162,7 @@ def _chain(centre: np.ndarray) -> list[int]:
 
 
 def _placeable(df: DataFrame) -> DataFrame:
-    vec = F.col("vec").cast("array<double>")
+    vec = F.coalesce(F.col("vec").cast("array<double>"), F.raise_error(F.lit("a vector is null")).cast("array<double>"))
     return df.select("id", vec.alias("vec")).filter(F.forall("vec", lambda v: F.abs(v) < float("inf")))
 
 
@@ -209,9 +209,9 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, chunk: int | None = N
     block has at most about ``chunk`` rows.
 
     Both frames have ``id`` (string or bigint) and ``vec`` (array<double>).
-    Equal distances are ordered by neighbour id. A row whose vector is null or
-    holds a null, NaN or infinity has no distances and is left out. The result
-    is written once.
+    Equal distances are ordered by neighbour id. A vector that is null is an error; a row
+    whose vector holds a null, NaN or infinity has no distances and is left out.
+    The result is written once.
     """
     same = queries is points
     points = cut_lineage(_placeable(points))
